@@ -212,8 +212,15 @@ FRONTIER: dict[str, str] = {
 
 # ------------------------------------------------------------------ Spark side
 
+_opened: dict[tuple[str, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; its footer is looked at once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(key[1])
+    return _opened[key]
 
 
 def project(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
@@ -287,7 +294,17 @@ def function_map(spark: SparkSession) -> DataFrame:
     return seeds.table(spark, FUNCTION_RULES, "vnw_function string, job_category string, beats_title boolean")
 
 
+_lookups: dict[tuple[str, str], models.Lookups] = {}
+
+
 def lookups(spark: SparkSession, sf_dir: str) -> models.Lookups:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _lookups:
+        _lookups[key] = _build_lookups(spark, sf_dir)
+    return _lookups[key]
+
+
+def _build_lookups(spark: SparkSession, sf_dir: str) -> models.Lookups:
     return models.Lookups(
         city_map=city_map(spark, sf_dir),
         title_map=title_map(spark),

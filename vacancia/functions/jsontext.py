@@ -6,6 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(pairs: dict) -> Column:
+    """A constant map, parsed in one go."""
+    def lit(x) -> str:
+        return sql_text(x) if isinstance(x, str) else str(x)
+    return F.expr("map(" + ", ".join(f"{lit(k)}, {lit(v)}" for k, v in pairs.items()) + ")")
+
+
 def is_json_array(c: Column) -> Column:
     """True only for a JSON array. ``from_json`` alone would wrap an object."""
     return F.json_array_length(c).isNotNull()

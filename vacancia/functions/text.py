@@ -7,6 +7,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vacancia.functions.jsontext import literal_map
+
 
 def keyword_slug(c: Column) -> Column:
     """'QA/QC Engineer' -> 'qa-qc-engineer'."""
@@ -39,7 +41,7 @@ def _code_point(n: Column) -> Column:
 
 
 def _entity_value(name: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for kv in name2codepoint.items() for x in kv])
+    table = literal_map(name2codepoint)
     number = (
         F.when(name.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(name, 3, 6), 16, 10).cast("bigint"))
         .when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7).try_cast("bigint"))

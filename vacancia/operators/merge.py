@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vacancia.schemas import extended
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key. Spark keeps one row per key and map task before it shuffles."""
@@ -150,11 +152,11 @@ def merge_into_buckets(
     batch = batch.withColumn("bucket", bucket_of(F.col(key), buckets))
     part = [by, "bucket"]
     if _exists(spark, path):
-        stored = spark.read.schema(schema.add("bucket", "int") if "bucket" not in schema.names else schema).parquet(path)
+        stored = spark.read.schema(extended(schema, "bucket", "int")).parquet(path)
         touched = batch.select(*part).distinct()
-        target = stored.join(touched, part, "left_semi").select(*[c for c in schema.names if c != "bucket"])
+        target = stored.join(touched, part, "left_semi").select(*schema.names)
     else:
-        target = spark.createDataFrame([], schema).select(*[c for c in schema.names if c != "bucket"])
+        target = spark.createDataFrame([], schema)
     merged = merge_fn(target, batch.drop("bucket")).withColumn("bucket", bucket_of(F.col(key), buckets))
     (
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacancia.functions.jsontext import literal_map, sql_text
+
 # Rule tables up to this size become a CASE chain; larger ones go through a join.
 MAX_INLINE_RULES = 600
 
@@ -32,22 +34,30 @@ def collect_rules(rules: DataFrame, order: Sequence[Column], key: str, outputs:
     return Ordered([r[0] for r in rows], [tuple(r[1:]) for r in rows])
 
 
-def _case_index(conditions: list[Column]) -> Column:
-    """Position of the first condition that holds; evaluation stops there."""
-    chain = None
-    for i, cond in enumerate(conditions):
-        chain = F.when(cond, F.lit(i)) if chain is None else chain.when(cond, F.lit(i))
-    return chain if chain is not None else F.lit(None).cast("int")
+def _case_index(conditions: list[str]) -> Column:
+    """Position of the first SQL condition that holds; evaluation stops there.
+
+    Written as text: one parse instead of several gateway calls per rule.
+    """
+    if not conditions:
+        return F.lit(None).cast("int")
+    return F.expr("case " + " ".join(f"when {c} then {i}" for i, c in enumerate(conditions)) + " end")
 
 
-def contains_index(text: Column, rules: Ordered) -> Column:
-    return _case_index([text.contains(k) for k in rules.keys])
+def contains_index(text: str, rules: Ordered) -> Column:
+    return _case_index([f"contains({text}, {sql_text(k)})" for k in rules.keys])
 
 
-def pick(index: Column, rules: Ordered, position: int, kind: str) -> Column:
+def pick(index: str, rules: Ordered, position: int, kind: str) -> Column:
     """Output column of the matched rule."""
-    values = F.array(*[F.lit(v[position]).cast(kind) for v in rules.values]) if rules.values else None
-    return F.get(values, index) if values is not None else F.lit(None).cast(kind)
+    if not rules.values:
+        return F.lit(None).cast(kind)
+
+    def lit(x) -> str:
+        return "null" if x is None else sql_text(x) if isinstance(x, str) else str(x)
+
+    body = ", ".join(lit(v[position]) for v in rules.values)
+    return F.expr(f"get(cast(array({body}) as array<{kind}>), {index})")
 
 
 def first_match(
@@ -64,11 +74,10 @@ def first_match(
     inline = collect_rules(rules, order, key, list(outputs))
     if inline is None:
         return _first_match_join(df, text, rules, key, outputs, order)
-    idx = "_rule_idx"
-    with_idx = df.withColumn(idx, contains_index(F.lower(text), inline))
+    with_idx = df.withColumn("_rule_idx", contains_index(f"lower({text})", inline))
     return with_idx.select(
         *df.columns,
-        *[pick(F.col(idx), inline, i, kinds[c]).alias(n) for i, (c, n) in enumerate(outputs.items())],
+        *[pick("_rule_idx", inline, i, kinds[c]).alias(n) for i, (c, n) in enumerate(outputs.items())],
     )
 
 
@@ -119,14 +128,15 @@ def _usable(spark, regex: str) -> bool:
     return True
 
 
-def _condition(title: Column, rule: TitleRule) -> Column:
+def _condition(title: str, rule: TitleRule) -> str:
     low = rule.pattern.lower()
     if rule.match_mode == "exact":
-        return title.isin(low, low + "\n")
+        return f"{title} in ({sql_text(low)}, {sql_text(low + chr(10))})"
     if rule.match_mode == "word_boundary":
         # The plain containment test is cheap and rejects nearly every title.
-        return title.contains(low) & title.rlike(r"(?U)\b\Q" + low + r"\E\b")
-    return title.rlike(low)
+        word = sql_text(r"(?U)\b\Q" + low + r"\E\b")
+        return f"(contains({title}, {sql_text(low)}) and {title} rlike {word})"
+    return f"{title} rlike {sql_text(low)}"
 
 
 def load_title_rules(rules: DataFrame) -> list[TitleRule]:
@@ -152,8 +162,8 @@ def classify_title(df: DataFrame, rules: Sequence[TitleRule], function_map: dict
         r for r in rules
         if r.is_active and (r.match_mode != "regex" or _usable(spark, r.pattern.lower()))
     ]
-    title = F.lower(F.coalesce(F.col("title"), F.lit("")))
-    mapping = F.create_map(*[F.lit(x) for kv in function_map.items() for x in kv])
+    title = "lower(coalesce(title, ''))"
+    mapping = literal_map(function_map)
     name = F.get_json_object("job_function", "$.children[0].name")
     by_function = F.when(F.col("source") == "vietnamworks", F.try_element_at(mapping, name))
     kept = Ordered(
@@ -166,11 +176,11 @@ def classify_title(df: DataFrame, rules: Sequence[TitleRule], function_map: dict
     fn, idx = F.col("_fn"), F.col("_idx")
     return df2.select(
         *df.columns,
-        F.coalesce(fn, pick(idx, kept, 0, "string"), F.lit("Other")).alias("job_category"),
+        F.coalesce(fn, pick("_idx", kept, 0, "string"), F.lit("Other")).alias("job_category"),
         F.when(fn.isNotNull(), "source_metadata").when(idx.isNotNull(), "title_keyword")
         .otherwise("default").alias("category_method"),
-        F.when(fn.isNotNull(), F.lit(0.95)).when(idx.isNotNull(), pick(idx, kept, 1, "double"))
+        F.when(fn.isNotNull(), F.lit(0.95)).when(idx.isNotNull(), pick("_idx", kept, 1, "double"))
         .otherwise(F.lit(0.0)).alias("category_confidence"),
         F.when(fn.isNotNull(), F.substring("job_function", 1, 100))
-        .otherwise(pick(idx, kept, 2, "string")).alias("category_matched_on"),
+        .otherwise(pick("_idx", kept, 2, "string")).alias("category_matched_on"),
     )

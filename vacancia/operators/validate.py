@@ -146,7 +146,7 @@ def outcome_counters(routed: DataFrame, skipped: int = 0) -> DataFrame:
     return routed.agg(n("loaded"), n("rejected"), F.lit(skipped).cast("bigint").alias("skipped"), n("failed"))
 
 
-def coerce_record(df: DataFrame) -> DataFrame:
+def coerce_record(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Parsed record to table types: ISO text to timestamps, missing lists to '[]', version default."""
     from vacancia.schemas import LIST_COLUMNS, TIMESTAMP_COLUMNS, UPDATABLE_COLUMNS, KEY, JOB_COLUMNS
 
@@ -162,4 +162,4 @@ def coerce_record(df: DataFrame) -> DataFrame:
             return F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown"))
         return c.cast(kinds[name])
 
-    return df.select(*[value(c).alias(c) for c in [*KEY, *UPDATABLE_COLUMNS]])
+    return df.select(*[value(c).alias(c) for c in [*KEY, *UPDATABLE_COLUMNS]], *keep)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vacancia import seeds
 from vacancia.functions import salary as sal
 from vacancia.functions.dates import is_expired
-from vacancia.functions.jsontext import array_items, blank_to_null
+from vacancia.functions.jsontext import array_items, blank_to_null, literal_map
 from vacancia.functions.numeric import (
     in_millions_1dp, mean_1dp, percent, round_half_even, round_half_up,
 )
@@ -114,7 +114,7 @@ def level_resolve(df: DataFrame, look: Lookups) -> DataFrame:
     rows = first_match(
         df, "title", look.level_map, "keyword", {"job_level": "_title_level"}, title_order("job_level")
     )
-    known = F.create_map(*[F.lit(x) for kv in look.raw_levels.items() for x in kv])
+    known = literal_map(look.raw_levels)
     return rows.withColumn("job_level_raw", F.col("job_level")).withColumn(
         "job_level",
         F.coalesce(F.try_element_at(known, F.col("job_level_raw")), F.col("_title_level"), F.lit("Mid-level")),

@@ -17,6 +17,11 @@ def struct_of(ddl: str) -> T.StructType:
     parts = [p.split() for p in ddl.split(",")]
     return T.StructType([T.StructField(n, _TYPES[k]) for n, k in parts])
 
+def extended(schema: T.StructType, name: str, kind: str = "string") -> T.StructType:
+    """A copy of the schema with one more field."""
+    return T.StructType([*schema.fields, T.StructField(name, _TYPES[kind])])
+
+
 # The columns of the common posting record, in table order.
 _JOB_COLUMNS = """
 source string

@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", app: str = "vacancia") -> SparkSession
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "vacancia-warehouse"))
         .getOrCreate()
