@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,40 +21,59 @@ def last_per_key(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) ->
     return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in arrival])
 
 
+@dataclass(frozen=True)
+class Side:
+    """Columns of one side of a merge, by their plain names."""
+
+    prefix: str
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(self.prefix + name)
+
+    @property
+    def absent(self) -> Column:
+        return F.col(self.prefix + "_here").isNull()
+
+    def of(self, df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+        return df.select(
+            *keys, *[F.col(c).alias(self.prefix + c) for c in names], F.lit(True).alias(self.prefix + "_here")
+        )
+
+
 def merge(
     target: DataFrame,
     batch: DataFrame,
     keys: Sequence[str],
-    matched: Callable[[Column, Column], dict[str, Column]],
-    missing: Callable[[Column], dict[str, Column]] | None = None,
+    matched: Callable[[Side, Side], dict[str, Column]],
+    missing: Callable[[Side], dict[str, Column]] | None = None,
 ) -> DataFrame:
     """Full-outer merge on unique keys.
 
     ``matched(t, b)`` gives the changed columns of a row present on both sides,
     ``missing(b)`` the columns of a new row that differ from the batch's own.
     """
+    t, b = Side("_t_"), Side("_b_")
     columns = [c for c in target.columns if c not in keys]
-    t = target.select(*keys, F.struct(*columns).alias("_t"))
-    b_cols = [c for c in batch.columns if c not in keys]
-    b = batch.select(*keys, F.struct(*b_cols, F.lit(True).alias("_here")).alias("_b"))
-    both = t.join(b, list(keys), "full_outer")
-    tc, bc = F.col("_t"), F.col("_b")
-    changed = matched(tc, bc)
-    added = missing(bc) if missing else {}
+    b_columns = [c for c in batch.columns if c not in keys]
+    both = t.of(target, keys, columns).join(b.of(batch, keys, b_columns), list(keys), "full_outer")
+    changed = matched(t, b)
+    added = missing(b) if missing else {}
     types = {f.name: f.dataType for f in target.schema.fields}
 
     def new_value(name: str) -> Column:
         if name in added:
             return added[name]
-        return bc[name] if name in b_cols else F.lit(None)
+        return b[name] if name in b_columns else F.lit(None)
 
     out = []
     for name in columns:
-        keep = tc[name]
+        if name not in changed and name not in b_columns and name not in added:
+            out.append(t[name].alias(name))
+            continue
         value = (
-            F.when(bc.isNull(), keep)
-            .when(tc.isNull(), new_value(name).cast(types[name]))
-            .otherwise(changed[name].cast(types[name]) if name in changed else keep)
+            F.when(b.absent, t[name])
+            .when(t.absent, new_value(name).cast(types[name]))
+            .otherwise(changed[name].cast(types[name]) if name in changed else t[name])
         )
         out.append(value.alias(name))
     return both.select(*keys, *out)
@@ -81,7 +101,7 @@ def upsert_newest_wins(
     one = last_per_key(batch, keys, [version, *arrival])
     names = [c for c in target.columns if c not in (*keys, stamp) and c in batch.columns]
 
-    def matched(t: Column, b: Column) -> dict[str, Column]:
+    def matched(t: Side, b: Side) -> dict[str, Column]:
         newer = t[version] <= b[version]
         out = {c: F.when(newer, b[c]).otherwise(t[c]) for c in names}
         if stamp in target.columns:
@@ -158,8 +178,9 @@ def merge_into_buckets(
     else:
         target = spark.createDataFrame([], schema)
     merged = merge_fn(target, batch.drop("bucket")).withColumn("bucket", bucket_of(F.col(key), buckets))
+    # Rebalancing gathers each stored partition in few files and splits an oversized one.
     (
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        merged.hint("rebalance", *part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*part).parquet(path)
     )
 
@@ -167,7 +188,7 @@ def merge_into_buckets(
 def rewrite_partition(df: DataFrame, path: str, partition: str) -> None:
     """Replace only the partitions present in df."""
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(path)
     )
 

@@ -84,13 +84,13 @@ def first_match(
 def _first_match_join(df, text, rules, key, outputs, order) -> DataFrame:
     lengths = sorted(r[0] for r in rules.select(F.length(key)).distinct().collect())
     low = F.lower(text)
-    substrings = F.flatten(F.array(*[
-        F.when(
-            F.length(low) >= n,
-            F.transform(F.sequence(F.lit(1), F.length(low) - (n - 1)), lambda i, n=n: F.substring(low, i, F.lit(n))),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in lengths
-    ]))
+
+    def cut(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(low) - (n - 1))
+        pieces = F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))
+        return F.when(F.length(low) >= n, pieces).otherwise(F.array().cast("array<string>"))
+
+    substrings = F.flatten(F.array(*[cut(n) for n in lengths]))
     pieces = (
         df.select(text).where(F.col(text).isNotNull()).distinct()
         .select(text, F.explode(F.array_distinct(substrings)).alias("_k"))

@@ -50,15 +50,13 @@ def extract_by_taxonomy(docs: DataFrame, keys: list[str], text: str, taxonomy: D
     )
     longest = terms.agg(F.max(F.size(F.split("_gram", " ")))).first()[0] or 1
     words = F.col("_words")
-    grams = F.array_distinct(F.flatten(F.array(*[
-        F.when(
-            F.size(words) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i, n=n: F.array_join(F.slice(words, i, n), " ")
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(1, longest + 1)
-    ])))
+
+    def grams_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+        made = words if n == 1 else F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+        return F.when(F.size(words) >= n, F.array_distinct(made)).otherwise(F.array().cast("array<string>"))
+
+    grams = F.flatten(F.array(*[grams_of(n) for n in range(1, longest + 1)]))
     rows = docs.select(*keys, words_of(F.col(text)).alias("_words")).select(*keys, F.explode(grams).alias("_gram"))
     return rows.join(terms, "_gram").select(*keys, "skill", "category").distinct()
 

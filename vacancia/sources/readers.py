@@ -18,14 +18,16 @@ def _since(reader, since: dt.datetime | None):
     return reader.option("modifiedAfter", since.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S"))
 
 
-def scan_parsed_json(spark: SparkSession, prefix: str, since: dt.datetime | None = None) -> DataFrame:
-    """Parsed records below a prefix, one JSON document per ``.json`` object.
+def scan_parsed_json(
+    spark: SparkSession, prefix: str, since: dt.datetime | None = None, one_per_object: bool = True,
+) -> DataFrame:
+    """Parsed records below a prefix: one document per ``.json`` object, or JSON lines.
 
     Adds object_key; an unreadable document arrives with _corrupt filled.
     """
     schema = extended(PARSED_RECORD, _CORRUPT)
     reader = (
-        spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+        spark.read.schema(schema).option("multiLine", one_per_object).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT).option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
     )
@@ -63,21 +65,21 @@ def skip_already_parsed(pages: DataFrame, parsed_ids: DataFrame, force: bool = F
     return pages.join(parsed_ids.select(F.col("source_job_id").alias("key")), "key", "left_anti")
 
 
-def scan_posts_json_gz(spark: SparkSession, prefix: str) -> DataFrame:
-    """Archived posts, one gzipped document each, with their file key."""
+def scan_posts_json_gz(spark: SparkSession, prefix: str, one_per_object: bool = True) -> DataFrame:
+    """Archived posts in gzipped JSON, with their file key."""
     return (
         spark.read.schema(extended(POST, _CORRUPT))
-        .option("multiLine", True).option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("multiLine", one_per_object).option("columnNameOfCorruptRecord", _CORRUPT)
         .option("pathGlobFilter", "*.json.gz").option("recursiveFileLookup", True).json(prefix)
         .withColumn("key", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json\.gz$", 1))
     )
 
 
-def scan_listing_json(spark: SparkSession, prefix: str) -> DataFrame:
+def scan_listing_json(spark: SparkSession, prefix: str, one_per_object: bool = True) -> DataFrame:
     """Listing responses as one row per record: (object_key, nb_pages, job_id, alias, position)."""
     raw = (
         spark.read.schema("data array<struct<jobId:string,alias:string>>, meta struct<nbPages:int>")
-        .option("multiLine", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+        .option("multiLine", one_per_object).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
         .json(prefix)
     )
     return raw.select(
