@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from vacancia import seeds
 from vacancia.plans import models
 from vacancia.session import pin_utc
+from vacancia.sources.readers import spread
 
 AS_OF = "2001-06-30 00:00:00"
 AS_OF_DAY = "2001-06-30"
@@ -213,13 +214,16 @@ FRONTIER: dict[str, str] = {
 # ------------------------------------------------------------------ Spark side
 
 _opened: dict[tuple[str, str], DataFrame] = {}
+# Tables with per-row work, and the key they are spread by when they come as one split.
+_SPREAD = {"orders": "o_orderkey", "documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table; its footer is looked at once per session."""
     key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
     if key not in _opened:
-        _opened[key] = spark.read.parquet(key[1])
+        table = spark.read.parquet(key[1])
+        _opened[key] = spread(table, _SPREAD[name]) if name in _SPREAD else table
     return _opened[key]
 
 
@@ -261,7 +265,7 @@ def skill_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def generations(spark: SparkSession, sf_dir: str, runs: int = 4) -> DataFrame:
     numbers = ", ".join(str(i) for i in range(1, runs + 1))
-    rows = read(spark, sf_dir, "orders").select(
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", F.expr(f"explode(array({numbers}))").alias("r")
     )
     pin_utc(spark)

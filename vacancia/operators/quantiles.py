@@ -12,19 +12,24 @@ from pyspark.sql import functions as F
 
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], bucket_width: float,
+    lows: Sequence[str] = (), highs: Sequence[str] = (),
 ) -> DataFrame:
-    """percentile_cont of non-null values per group: keys + one column per name in probs.
+    """Distribution of non-null values per group.
+
+    Gives keys, ``n``, ``mean``, the percentile_cont columns named in probs, the
+    minimum of each column in ``lows`` and the maximum of each in ``highs``.
 
     The built-in aggregate keeps every distinct value of a group in one buffer.
     Here values are counted per (group, value) first, the counts of coarse value
     ranges locate the range each wanted rank falls into, and only those ranges
     are ranked value by value. A group holding most of the table is spread over
     its value ranges; the largest unit of work is one range of one group.
+    Everything derives from one shuffle of the input, which the planner reuses.
     """
     keys = list(keys)
     counts = (
         df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"))
+        .agg(F.count("*").alias("_n"), *[F.min(c).alias(c) for c in lows], *[F.max(c).alias(c) for c in highs])
         .withColumn("_b", F.floor(F.col("_v") / F.lit(bucket_width)))
     )
     # Cumulative counts per range. One row per (group, range): bounded by the value domain.
@@ -70,4 +75,10 @@ def exact_percentiles(
         f = F.max(F.when(mine, frac))
         return (lo + (hi - lo) * f).alias(name)
 
-    return points.groupBy(*keys).agg(*[at(n) for n in probs])
+    totals = counts.groupBy(*keys).agg(
+        F.sum("_n").alias("n"), (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("mean"),
+        *[F.min(c).alias(c) for c in lows], *[F.max(c).alias(c) for c in highs],
+    )
+    marks = points.groupBy(*keys).agg(*[at(n) for n in probs]).withColumnsRenamed({k: f"_m_{k}" for k in keys})
+    matching = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
+    return totals.join(marks, matching).drop(*[f"_m_{k}" for k in keys])

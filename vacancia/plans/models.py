@@ -295,19 +295,16 @@ def mart_salary_by_level(silver: DataFrame, day: Column) -> DataFrame:
         F.coalesce("region", F.lit("Unknown")).alias("region"),
         "salary_vnd_monthly_avg", "salary_vnd_monthly_min", "salary_vnd_monthly_max",
     )
-    totals = rows.groupBy(*keys).agg(
-        F.count("*").alias("n_visible_jobs"),
-        round_half_even(F.avg("salary_vnd_monthly_avg")).alias("avg_salary_vnd"),
-        round_half_even(F.min("salary_vnd_monthly_min")).alias("min_salary_vnd"),
-        round_half_even(F.max("salary_vnd_monthly_max")).alias("max_salary_vnd"),
-    )
-    points = exact_percentiles(
-        rows, keys, "salary_vnd_monthly_avg", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, SALARY_RANGE
+    spread = exact_percentiles(
+        rows, keys, "salary_vnd_monthly_avg", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, SALARY_RANGE,
+        lows=["salary_vnd_monthly_min"], highs=["salary_vnd_monthly_max"],
     )
-    return totals.join(points, keys).select(
-        *keys, "n_visible_jobs",
+    return spread.select(
+        *keys, F.col("n").alias("n_visible_jobs"),
         *[round_half_even(F.col(p)).alias(f"{p}_vnd") for p in ("p25", "p50", "p75")],
-        "avg_salary_vnd", "min_salary_vnd", "max_salary_vnd",
+        round_half_even(F.col("mean")).alias("avg_salary_vnd"),
+        round_half_even(F.col("salary_vnd_monthly_min")).alias("min_salary_vnd"),
+        round_half_even(F.col("salary_vnd_monthly_max")).alias("max_salary_vnd"),
     ).withColumn("snapshot_date", day)
 
 

@@ -368,7 +368,7 @@ def weekly_salary_by_level(fact: DataFrame, day: Column) -> DataFrame:
     """Median of the active postings of a day, in millions to one decimal (ties to even)."""
     rows = fact.filter((F.col("snapshot_date") == day) & F.col("is_active")).select("job_level", "salary_vnd_monthly_avg")
     n = rows.groupBy("job_level").agg(F.count("salary_vnd_monthly_avg").alias("with_salary"))
-    mid = exact_percentiles(rows, ["job_level"], "salary_vnd_monthly_avg", {"median": 0.5}, 1_000_000.0)
+    mid = exact_percentiles(rows, ["job_level"], "salary_vnd_monthly_avg", {"median": 0.5}, 1_000_000.0).select("job_level", "median")
     return n.join(mid, "job_level", "left").select(
         "job_level", "with_salary", (F.rint(F.col("median") / F.lit(1e5)) / F.lit(10.0)).alias("median_m_vnd")
     )
