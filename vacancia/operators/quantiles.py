@@ -32,53 +32,55 @@ def exact_percentiles(
         .agg(F.count("*").alias("_n"), *[F.min(c).alias(c) for c in lows], *[F.max(c).alias(c) for c in highs])
         .withColumn("_b", F.floor(F.col("_v") / F.lit(bucket_width)))
     )
+    carried = {c: F.min for c in lows} | {c: F.max for c in highs}
     # Cumulative counts per range. One row per (group, range): bounded by the value domain.
     by_range = Window.partitionBy(*keys).orderBy("_b")
     whole = Window.partitionBy(*keys)
-    ranges = (
-        counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-        .withColumn("_before", F.sum("_bn").over(by_range) - F.col("_bn"))
-        .withColumn("_total", F.sum("_bn").over(whole))
+    ranges = counts.groupBy(*keys, "_b").agg(
+        F.sum("_n").alias("_bn"), F.sum(F.col("_v") * F.col("_n")).alias("_bsum"),
+        *[f(c).alias(c) for c, f in carried.items()],
+    ).select(
+        *keys, "_b", "_bn",
+        (F.sum("_bn").over(by_range) - F.col("_bn")).alias("_before"),
+        F.sum("_bn").over(whole).alias("_total"), F.sum("_bsum").over(whole).alias("_sum"),
+        *[f(c).over(whole).alias(f"_all_{c}") for c, f in carried.items()],
     )
     wanted = F.array(*[
-        F.struct(
-            F.lit(name).alias("name"),
-            (F.lit(p) * (F.col("_total") - 1)).alias("h"),
-        )
+        F.struct(F.lit(name).alias("name"), (F.lit(p) * (F.col("_total") - 1)).alias("h"))
         for name, p in probs.items()
     ])
-    ranks = ranges.select(*keys, "_b", "_bn", "_before", F.explode(wanted).alias("_w")).select(
-        *keys, "_b", "_before", "_bn", F.col("_w.name").alias("_name"), F.col("_w.h").alias("_h"),
-        F.explode(F.array_distinct(F.array(F.floor("_w.h"), F.ceil("_w.h")))).alias("_rank"),
+    group_values = ["_total", "_sum", *[f"_all_{c}" for c in carried]]
+    ranks = ranges.withColumn("_w", F.explode(wanted)).withColumn(
+        "_rank", F.explode(F.array_distinct(F.array(F.floor("_w.h"), F.ceil("_w.h"))))
     ).filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_bn")))
     # Rank values only inside the ranges that hold a wanted rank.
     hit = ranks.groupBy(*keys, "_b").agg(
-        F.first("_before").alias("_before"),
-        F.collect_set(F.struct("_name", "_h", "_rank")).alias("_ranks"),
-    )
-    in_range = Window.partitionBy(*keys, "_b").orderBy("_v")
-    hit = hit.withColumnsRenamed({k: f"_hit_{k}" for k in [*keys, "_b"]})
+        *[F.first(c).alias(c) for c in ("_before", *group_values)],
+        F.collect_set(F.struct(F.col("_w.name").alias("name"), F.col("_w.h").alias("h"), F.col("_rank").alias("rank"))).alias("_ranks"),
+    ).withColumnsRenamed({k: f"_hit_{k}" for k in [*keys, "_b"]})
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hit_{k}")) for k in [*keys, "_b"]])
-    positioned = (
-        counts.join(hit, same).select(*keys, "_b", "_v", "_n", "_before", "_ranks")
+    in_range = Window.partitionBy(*keys, "_b").orderBy("_v")
+    points = (
+        counts.join(hit, same)
         .withColumn("_to", F.sum("_n").over(in_range) + F.col("_before"))
+        .withColumn("_r", F.explode("_ranks"))
+        .filter((F.col("_r.rank") < F.col("_to")) & (F.col("_r.rank") >= F.col("_to") - F.col("_n")))
     )
-    points = positioned.select(*keys, "_v", "_n", "_to", F.explode("_ranks").alias("_r")).filter(
-        (F.col("_r._rank") < F.col("_to")) & (F.col("_r._rank") >= F.col("_to") - F.col("_n"))
-    )
-    frac = F.col("_r._h") - F.floor("_r._h")
+    low_rank, high_rank = F.floor("_r.h"), F.ceil("_r.h")
 
     def at(name: str):
-        mine = F.col("_r._name") == name
-        lo = F.max(F.when(mine & (F.col("_r._rank") == F.floor("_r._h")), F.col("_v")))
-        hi = F.max(F.when(mine & (F.col("_r._rank") == F.ceil("_r._h")), F.col("_v")))
-        f = F.max(F.when(mine, frac))
-        return (lo + (hi - lo) * f).alias(name)
+        mine = F.col("_r.name") == name
+        lo = F.max(F.when(mine & (F.col("_r.rank") == low_rank), F.col("_v")))
+        hi = F.max(F.when(mine & (F.col("_r.rank") == high_rank), F.col("_v")))
+        return (lo + (hi - lo) * F.max(F.when(mine, F.col("_r.h") - low_rank))).alias(name)
+
+    def extreme(c: str):
+        # The group's own value already covers the points; reading the column here
+        # too keeps both branches on one shuffle.
+        pick = F.least if c in lows else F.greatest
+        return pick(F.max(f"_all_{c}"), carried[c](c)).alias(c)
 
-    totals = counts.groupBy(*keys).agg(
-        F.sum("_n").alias("n"), (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("mean"),
-        *[F.min(c).alias(c) for c in lows], *[F.max(c).alias(c) for c in highs],
+    return points.groupBy(*keys).agg(
+        F.max("_total").alias("n"), F.max(F.col("_sum") / F.col("_total")).alias("mean"),
+        *[at(n) for n in probs], *[extreme(c) for c in carried],
     )
-    marks = points.groupBy(*keys).agg(*[at(n) for n in probs]).withColumnsRenamed({k: f"_m_{k}" for k in keys})
-    matching = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
-    return totals.join(marks, matching).drop(*[f"_m_{k}" for k in keys])
