@@ -49,8 +49,8 @@ def scan_pages_gz(spark: SparkSession, prefix: str, suffix: str = ".html.gz") ->
     """Gzipped pages as (key, object_key, html); the key is the file stem."""
     stem = "([^/]+)" + suffix.replace(".", "\\.") + "$"
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}")
-        .option("recursiveFileLookup", True).text(prefix)
+        spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True)
+        .text(prefix, wholetext=True)
         .select(
             F.regexp_extract(F.col("_metadata.file_path"), stem, 1).alias("key"),
             F.col("_metadata.file_path").alias("object_key"), F.col("value").alias("html"),
