@@ -414,7 +414,8 @@ cte("title_map", [], values(TITLE_RULES, "keyword, job_category, priority"))
 cte("function_map", [], values([(f, c, b) for f, c, b in FUNCTION_RULES], "vnw_function, job_category, beats_title"))
 cte("level_map", [], values([(k, v, int(p)) for k, v, p in seeds.lines(seeds.JOB_LEVEL_KEYWORDS)], "keyword, job_level, priority"))
 cte("raw_levels", [], values(seeds.lines(seeds.RAW_LEVELS), "raw_level, level"))
-cte("fx", [], values([(c, float(r)) for c, r, _ in seeds.lines(seeds.FX_RATES)], "currency, vnd_rate"))
+cte("fx", [], "select currency, cast(vnd_rate as double) as vnd_rate from ("
+    + values([(c, r) for c, r, _ in seeds.lines(seeds.FX_RATES)], "currency, vnd_rate") + ")")
 cte("periods", [], values([(int(i), n, m) for i, n, m in seeds.lines(seeds.SALARY_PERIODS)], "period_id, period_label, months"))
 cte("degrees", [], values([(int(i), n) for i, n in seeds.lines(seeds.DEGREES)], "degree_id, degree_label"))
 cte("sizes", [], values([(int(i), a, b) for i, a, b in seeds.lines(seeds.COMPANY_SIZES)], "size_id, size_label, size_bucket"))

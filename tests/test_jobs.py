@@ -114,6 +114,18 @@ def test_snapshot_keeps_vanished_rows(spark, tmp_path):
     assert got == [(1, "2024-01-01", "a"), (1, "2024-01-02", "c"), (2, "2024-01-02", "b")]
 
 
+def test_merge_beyond_the_named_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "MAX_NAMED_PARTITIONS", 1)
+    test_snapshot_keeps_vanished_rows(spark, tmp_path)
+
+
+def test_first_n_for_a_hot_key(spark):
+    df = spark.range(3000).selectExpr("case when id < 2900 then 'hot' else 'b' end as k", "id")
+    got = merge.first_n_per_key(df, ["k"], ["id"], 1500)
+    assert got.filter("k = 'hot'").agg(F.count("*"), F.max("id")).first() == (1500, 1499)
+    assert got.filter("k = 'b'").count() == 100
+
+
 def test_publish_keeps_old_copy_and_rebuilds(spark, tmp_path):
     target = str(tmp_path)
     writers.publish_swap(spark, {"m": spark.range(3)}, target)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.operators.merge import last_per_key, merge
+from vacancia.operators.merge import first_n_per_key, last_per_key, merge
 
 KEY = ["source", "job_id"]
 
@@ -35,18 +35,14 @@ def not_fresh(items: DataFrame, frontier: DataFrame, as_of: Column, days: int =
 
 
 def claim(frontier: DataFrame, n: int, as_of: Column, source: str | None = None) -> DataFrame:
-    """Oldest n pending rows of each source become in_progress.
-
-    The row_number filter is cut to n per source in every map task before the
-    shuffle, so one huge source never lands in one task.
-    """
+    """Oldest n pending rows of each source become in_progress."""
     pending = frontier.filter(F.col("status") == "pending")
     if source is not None:
         pending = pending.filter(F.col("source") == source)
-    w = Window.partitionBy("source").orderBy(F.col("first_seen_at").asc_nulls_last(), "job_id")
-    taken = (
-        pending.select(*KEY, "first_seen_at").withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= n).select(*KEY, F.lit(True).alias("_taken"))
+    # A missing first_seen_at sorts last.
+    aged = pending.select(*KEY, F.col("first_seen_at").isNull().alias("_unseen"), "first_seen_at")
+    taken = first_n_per_key(aged, ["source"], ["_unseen", "first_seen_at", "job_id"], n).select(
+        *KEY, F.lit(True).alias("_taken")
     )
     hit = F.col("_taken").isNotNull()
     joined = frontier.join(taken, KEY, "left")

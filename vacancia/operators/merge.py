@@ -17,6 +17,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def first_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salt: int = 32) -> DataFrame:
+    """The first n rows per key, for any n, without sorting a whole key in one task.
+
+    Rows compete inside salted slices first; only each slice's first n meet per key.
+    """
+    slice_of = F.pmod(F.xxhash64(*order), F.lit(salt)).cast("int")
+    local = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    final = Window.partitionBy(*keys).orderBy(*order)
+    return (
+        df.withColumn("_slice", slice_of).withColumn("_rn", F.row_number().over(local)).filter(F.col("_rn") <= n)
+        .withColumn("_rn", F.row_number().over(final)).filter(F.col("_rn") <= n).drop("_slice", "_rn")
+    )
+
+
 def last_per_key(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) -> DataFrame:
     return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in arrival])
 
@@ -154,6 +168,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+# Up to this many touched partitions are named in the read filter; beyond it everything is read.
+MAX_NAMED_PARTITIONS = 5000
+
+
+def _only_partitions(stored: DataFrame, touched: DataFrame) -> DataFrame:
+    """Read only the partitions the batch touches.
+
+    The partition values (board, bucket or day; never row data) become literals,
+    so pruning does not depend on a join strategy. The result may cover more
+    than the touched partitions only beyond the limit, where a semi join
+    narrows it.
+    """
+    names = touched.columns
+    rows = touched.distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
+    if len(rows) > MAX_NAMED_PARTITIONS:
+        return stored.join(touched.distinct(), names, "left_semi")
+    if len(names) == 1:
+        return stored.filter(F.col(names[0]).isin([r[0] for r in rows]))
+    by_first: dict = {}
+    for first, second in rows:
+        by_first.setdefault(first, []).append(second)
+    keep = F.lit(False)
+    for first, seconds in by_first.items():
+        keep = keep | ((F.col(names[0]) == first) & F.col(names[1]).isin(seconds))
+    return stored.filter(keep)
+
+
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
@@ -164,17 +205,14 @@ def merge_into_buckets(
 ) -> None:
     """Upsert into parquet laid out by (by, bucket of key), rewriting touched partitions only.
 
-    A batch that touches few buckets reads and writes only those: the list of
-    touched partitions is a join key for partition pruning, never row data. The
-    rewrite uses dynamic partition overwrite, which moves finished files in at
-    commit, so a lost executor only repeats its task.
+    The rewrite uses dynamic partition overwrite, which moves finished files in
+    at commit, so a lost executor only repeats its task.
     """
     batch = batch.withColumn("bucket", bucket_of(F.col(key), buckets))
     part = [by, "bucket"]
     if _exists(spark, path):
         stored = spark.read.schema(extended(schema, "bucket", "int")).parquet(path)
-        touched = batch.select(*part).distinct()
-        target = stored.join(touched, part, "left_semi").select(*schema.names)
+        target = _only_partitions(stored, batch.select(*part)).select(*schema.names)
     else:
         target = spark.createDataFrame([], schema)
     merged = merge_fn(target, batch.drop("bucket")).withColumn("bucket", bucket_of(F.col(key), buckets))
@@ -196,8 +234,7 @@ def rewrite_partition(df: DataFrame, path: str, partition: str) -> None:
 def merge_snapshot_into(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], partition: str) -> None:
     """merge_delete_insert on a stored table: reads and rewrites the incoming days only."""
     if _exists(spark, path):
-        days = incoming.select(partition).distinct()
-        stored = spark.read.parquet(path).join(days, partition, "left_semi").select(*incoming.columns)
+        stored = _only_partitions(spark.read.parquet(path), incoming.select(partition)).select(*incoming.columns)
         incoming = merge_delete_insert(stored, incoming, keys)
     rewrite_partition(incoming, path, partition)
 

@@ -130,7 +130,11 @@ def with_outcome(df: DataFrame, validate: bool = True, rule: Column | None = Non
 
 
 def split_valid_rejected(df: DataFrame, validate: bool = True, rule: Column | None = None) -> Split:
-    routed = with_outcome(df, validate, rule)
+    return split_routed(with_outcome(df, validate, rule))
+
+
+def split_routed(routed: DataFrame) -> Split:
+    """The three sides of a frame that already carries its outcome."""
     extra = ["outcome", "reject_reason", "reject_detail"]
     return Split(
         routed.filter("outcome = 'loaded'").drop(*extra),

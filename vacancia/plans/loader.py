@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacancia.operators import merge, validate
-from vacancia.schemas import JOB_TABLE, KEY
+from vacancia.schemas import JOB_TABLE, KEY, PARSED_RECORD
+from vacancia.session import work_dir
 from vacancia.sources import readers, writers
 
 
@@ -17,14 +18,18 @@ def load_job_detail(
     since: dt.datetime | None = None, dry_run: bool = False, validate_payload: bool = True, buckets: int = 64,
 ) -> DataFrame:
     """Scan, route, merge (last payload wins) and quarantine. Returns one row of counters."""
-    records = readers.scan_parsed_json(spark, prefix, since)
-    routed = validate.with_outcome(records, validate_payload)
+    routed = validate.with_outcome(readers.scan_parsed_json(spark, prefix, since), validate_payload)
     skipped = readers.count_skipped(spark, prefix, since)
-    if not dry_run:
-        split = validate.split_valid_rejected(records, validate_payload)
-        merge_jobs(spark, target, split.valid, ["object_key"], as_of, buckets)
-        if rejects is not None:
-            writers.sink_rejects(split.rejected, rejects, as_of)
+    if dry_run:
+        return validate.outcome_counters(routed, skipped)
+    # The archive is many small objects: read it once, route from the staged copy.
+    staged = work_dir(spark, "routed")
+    routed.write.parquet(staged)
+    routed = spark.read.parquet(staged)
+    split = validate.split_routed(routed)
+    merge_jobs(spark, target, split.valid, ["object_key"], as_of, buckets)
+    if rejects is not None:
+        writers.sink_rejects(split.rejected, rejects, as_of)
     return validate.outcome_counters(routed, skipped)
 
 
@@ -57,7 +62,5 @@ def parse_and_load_batch(pages: DataFrame, extracted: DataFrame) -> DataFrame:
 def replay_rejects(rejects: DataFrame, rule: Column | None = None) -> validate.Split:
     """Validate quarantined payloads again, newest payload per job, under the given rule."""
     newest = merge.first_per_key(rejects, KEY, [F.col("rejected_at").desc(), F.col("payload").desc()])
-    from vacancia.schemas import PARSED_RECORD
-
     records = newest.select(F.from_json("payload", PARSED_RECORD).alias("r"), "object_key").select("r.*", "object_key")
     return validate.split_valid_rejected(records, rule=rule)

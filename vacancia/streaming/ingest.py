@@ -33,12 +33,15 @@ def stream_ingest(
     so a second run changes nothing.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
+        # Both sides of the split read the batch; keep it for the length of this call.
+        batch = batch.persist()
         split = split_valid_rejected(batch)
         merge_jobs(batch.sparkSession, target, split.valid, ["object_key"], as_of, buckets, newest_wins=True)
         (
             reject_rows(split.rejected, as_of).withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects)
         )
+        batch.unpersist()
 
     return (
         stream_records(spark, prefix, files_per_trigger).writeStream.foreachBatch(load)
