@@ -16,6 +16,7 @@ from vacancia.plans import loader, models, reports
 from vacancia.schemas import JOB_TABLE, KEY
 from vacancia.session import work_dir
 from vacancia.sources import readers, writers
+from vacancia.streaming.ingest import stream_ingest
 
 TS = f"timestamp '{tb.AS_OF}'"
 RAW = ["source", "source_job_id", "title", "company_name", "salary_min", "salary_max", "is_salary_visible",
@@ -223,6 +224,22 @@ register(
       cast(parsed_at as timestamp) parsed_at, {TS} loaded_at, salary_min, locations from checked where reject_reason is null""", "checked"),
 )
 
+
+def _stream(s, d):
+    """Archive all postings as JSON lines and ingest them as a file stream."""
+    root = work_dir(s, "stream")
+    # The board stays inside the documents, as in the archive.
+    payload(s, d).drop("ordinal").write.json(f"{root}/parsed")
+    stream_ingest(
+        s, f"{root}/parsed", f"{root}/jobs", f"{root}/rejects", f"{root}/checkpoint", tb.as_of(), 4, one_per_object=False,
+    ).awaitTermination()
+    loaded = s.read.schema(JOB_TABLE).parquet(f"{root}/jobs").select(*KEY, F.lit("loaded").alias("state"))
+    refused = s.read.parquet(f"{root}/rejects").select(*KEY, F.col("reject_reason").alias("state"))
+    return loaded.unionByName(refused)
+
+
+register("stream_ingest", _stream, tb.sql("select source, source_job_id, coalesce(reject_reason, 'loaded') state from checked", "checked"))
+
 # ------------------------------------------------------------------ merges
 
 TARGET = "select source, source_job_id, title, parsed_at, loaded_at, salary_min from postings where ordinal % 3 <> 0"

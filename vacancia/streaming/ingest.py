@@ -11,9 +11,11 @@ from vacancia.schemas import PARSED_RECORD, extended
 from vacancia.sources.writers import reject_rows
 
 
-def stream_records(spark: SparkSession, prefix: str, files_per_trigger: int | None = None) -> DataFrame:
+def stream_records(
+    spark: SparkSession, prefix: str, files_per_trigger: int | None = None, one_per_object: bool = True,
+) -> DataFrame:
     reader = (
-        spark.readStream.schema(extended(PARSED_RECORD, "_corrupt")).option("multiLine", True)
+        spark.readStream.schema(extended(PARSED_RECORD, "_corrupt")).option("multiLine", one_per_object)
         .option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
     )
@@ -24,7 +26,7 @@ def stream_records(spark: SparkSession, prefix: str, files_per_trigger: int | No
 
 def stream_ingest(
     spark: SparkSession, prefix: str, target: str, rejects: str, checkpoint: str, as_of: Column,
-    buckets: int = 64, files_per_trigger: int | None = None,
+    buckets: int = 64, files_per_trigger: int | None = None, one_per_object: bool = True,
 ):
     """Start a run over everything new; the checkpoint replaces a since-date.
 
@@ -44,6 +46,6 @@ def stream_ingest(
         batch.unpersist()
 
     return (
-        stream_records(spark, prefix, files_per_trigger).writeStream.foreachBatch(load)
+        stream_records(spark, prefix, files_per_trigger, one_per_object).writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
