@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +16,23 @@ from vacancia.session import work_dir
 
 #: Rows a task holds as Python objects at a time.
 ROWS = 256
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for an application: their Python workers import it by name."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "vacancia"), "zip", root, "vacancia")
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
+def id_texts(docs: DataFrame) -> DataFrame:
+    """doc_id and text alone, whatever other columns there are."""
+    ship(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -40,6 +60,7 @@ def keep_rows(docs: DataFrame, decide: Callable[[], Callable[[list], list[bool]]
         for part in slices(batches):
             yield part.filter(pa.array(keeps(part.column("text").to_pylist()), pa.bool_()))
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 

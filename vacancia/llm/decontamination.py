@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import ascii_words, batch_of, keep_rows, slices
+from vacancia.llm.common import ascii_words, batch_of, id_texts, keep_rows, slices
 from vacancia.llm.simhash import fingerprint, shingle_hashes
 
 WIDTH, SIMILAR, RADIUS = 5, 0.8, 23
@@ -157,7 +157,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     leaked; an item of fewer than WIDTH words is one shingle and needs those words in a row.
     Repeated rows each give theirs; equal items are all named. Other columns are not read.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = id_texts(docs)
     out = None
     for index in indexes(benchmark):
         held = docs.sparkSession.sparkContext.broadcast(index)

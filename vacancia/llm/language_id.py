@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import batch_of, keep_rows, slices, stored
+from vacancia.llm.common import batch_of, id_texts, keep_rows, ship, slices, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -72,6 +72,7 @@ def train(labelled: DataFrame, docs_per_lang: int = 2_000, keys_per_table: int =
     each size, that are frequent enough to number at most ``keys_per_table`` are kept, so the model
     that reaches the driver has at most (LONGEST + 1) x ``keys_per_table`` rows a language.
     """
+    ship(labelled.sparkSession)
     rows = labelled.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
     near = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 40)) < F.least(F.lit(1.0), docs_per_lang / F.col("n_docs")) * (1 << 40)
@@ -174,7 +175,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             found = [scorer.score(t) for t in part.column("text").to_pylist()]
             yield batch_of(OUT, part.column("doc_id"), [x[0] for x in found], [x[1] for x in found])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return id_texts(docs).mapInArrow(
         run, "doc_id long, lang_pred string, score double"
     )
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.llm import bpe
-from vacancia.llm.common import slices
+from vacancia.llm.common import id_texts, slices
 
 #: Penalties in padding ids.
 SENTENCE, TRUNCATION, STRIDE = 2, 12, 32
@@ -147,4 +147,4 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1) -> DataF
         if (out := packer.pieces(last=True)) is not None:
             yield out
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return id_texts(docs).mapInArrow(run, SCHEMA)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import batch_of, slices
+from vacancia.llm.common import batch_of, id_texts, slices
 
 WINDOW = 5
 BLANKS = " \t\n\v\f\r"
@@ -109,7 +109,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     bits = F.lit(0).cast("long")
     for rule in RULES:
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << rule.bit)).otherwise(F.lit(0)).cast("long"))
-    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    measured = id_texts(docs).mapInArrow(
         run, ", ".join(f"{n} long" for n in OUT.names)
     )
     return measured.withColumn("failed_bits", bits)

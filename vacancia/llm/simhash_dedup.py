@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import ascii_words, batch_of, slices, stored
+from vacancia.llm.common import ascii_words, batch_of, id_texts, ship, slices, stored
 from vacancia.llm.components import connected
 from vacancia.llm.simhash import fingerprint, shingle_hashes
 
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
             prints = np.array([fingerprint(shingle_hashes(ascii_words(t), width)) for t in part.column("text").to_pylist()], np.uint64)
             yield batch_of(PRINTS, part.column("doc_id"), prints.view(np.int64))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return id_texts(docs).mapInArrow(run, "doc_id long, fp long")
 
 
 def _spread(prints: np.ndarray, start: int, left: np.ndarray | None) -> list[tuple[int, int]]:
@@ -129,6 +129,7 @@ def _link(batches):
 
 def near_links(prints: DataFrame, part: int = PART) -> DataFrame:
     """u, v: links among the distinct fingerprints (column fp) that connect all pairs within RADIUS bits."""
+    ship(prints.sparkSession)
     fp = F.col("fp")
 
     def bits(first: int, width: int):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vacancia.llm import bpe, range_coder
-from vacancia.llm.common import batch_of, slices
+from vacancia.llm.common import batch_of, id_texts, ship, slices
 from vacancia.llm.range_coder import Coded
 
 #: Ids after which a stream is closed, at the end of a document.
@@ -55,7 +55,7 @@ def write_ids(docs: DataFrame, target: str, path: str, end_id: int = 0) -> None:
         if held:
             yield close()
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = id_texts(docs)
     texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, DDL).write.parquet(target)
 
 
@@ -76,6 +76,7 @@ def read_ids(spark: SparkSession, target: str) -> DataFrame:
                     [data[4 * x : 4 * y] for x, y in zip(a.tolist(), b.tolist())],
                 )
 
+    ship(spark)
     files = spark.read.schema(DDL).parquet(target)
     # Ids before each stream: sums by part (one row a task that wrote), then within the part.
     sizes = files.select("part", "segment", "n_ids")
