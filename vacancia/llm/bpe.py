@@ -23,9 +23,11 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
 
+SIMPLE_ENDS = (".", ",", ";", ":", "!", "?")
+
 CLEAN = re.compile(r"(?<=\S) (?=\S)")
-#: Longest group that is remembered, and how many are.
-CACHED_CHARS, CACHED_GROUPS = 40, 600_000
+#: Longest group that is remembered, how many groups and how many single pre-tokens are.
+CACHED_CHARS, CACHED_GROUPS, CACHED_TOKENS = 40, 700_000, 300_000
 
 
 def default_path(name: str = "byte_bpe_50k.json") -> str:
@@ -91,24 +93,32 @@ class Groups:
             return CLEAN.split(text)
         return pieces
 
-    def _group(self, text: str) -> bytes:
-        """Ids of a cleanly bounded group: its pre-tokens' ids, each remembered on its own."""
-        out = []
-        for token in self.library.pattern.findall(text):
-            data = self.tokens.get(token)
-            if data is None:
+    def _token(self, token: str) -> bytes:
+        """Ids of one pre-token."""
+        data = self.tokens.get(token)
+        if data is None:
+            if token.isascii() and token.isprintable():
+                mapped = token.replace(" ", BYTE_CHARS[32])
+            else:
                 mapped = "".join(map(BYTE_CHARS.__getitem__, token.encode()))
-                data = array("I", [t.id for t in self.library.tokenizer.model.tokenize(mapped)]).tobytes()
-                if len(token) <= CACHED_CHARS:
-                    self.tokens[token] = data
-            out.append(data)
-        return b"".join(out)
+            data = array("I", [t.id for t in self.library.tokenizer.model.tokenize(mapped)]).tobytes()
+            if len(token) <= CACHED_CHARS:
+                self.tokens[token] = data
+        return data
+
+    def _group(self, piece: str) -> bytes:
+        """Ids of a space and a cleanly bounded piece: those of its pre-tokens (letters alone are one)."""
+        if piece.isalpha():
+            return self._token(" " + piece)
+        if piece[-1:] in SIMPLE_ENDS and piece[:-1].isalpha():
+            return self._token(" " + piece[:-1]) + self._token(piece[-1])
+        return b"".join(map(self._token, self.library.pattern.findall(" " + piece)))
 
     def _fresh(self, groups: list[str]) -> dict:
         """Values of groups, each read with the space before it."""
-        if len(self.tokens) > CACHED_GROUPS:
-            self.tokens = dict(itertools.islice(self.tokens.items(), CACHED_GROUPS // 2, None))
-        return {g: self.convert(self._group(" " + g)) for g in groups}
+        if len(self.tokens) > CACHED_TOKENS:
+            self.tokens = dict(itertools.islice(self.tokens.items(), CACHED_TOKENS // 2, None))
+        return {g: self.convert(self._group(g)) for g in groups}
 
     def _head(self, head: str):
         value = self.heads.get(head)
@@ -141,7 +151,7 @@ class Groups:
                 values = look(pieces[1:])
                 if None in values:
                     new = [p for p, v in zip(pieces[1:], values) if v is None and p not in missing]
-                    if any(map(blank_edge, new)):
+                    if any(not p.isalpha() and blank_edge(p) for p in new):
                         pieces = CLEAN.split(text)
                         values = look(pieces[1:])
                         new = [p for p, v in zip(pieces[1:], values) if v is None]
@@ -158,7 +168,7 @@ class Groups:
                 if None in values:
                     values = [fresh[p] if v is None else v for p, v in zip(pieces[1:], values)]
                 out.append([self._head(pieces[0]), *values])
-        self.known.update((g, v) for g, v in fresh.items() if len(g) <= CACHED_CHARS and not blank_edge(g))
+        self.known.update((g, v) for g, v in fresh.items() if len(g) <= CACHED_CHARS and (g.isalpha() or not blank_edge(g)))
         return out
 
 
