@@ -28,6 +28,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
+    os.environ.setdefault("SUITE_PARTITIONS", os.environ.get("BENCH_CPUS", "8"))  # its tables are single files
     registry.load()
     names = sys.argv[1:] or HEADLINE
     seconds = {}

@@ -39,7 +39,6 @@ def payload(s, d):
     })
 
 
-# The board moves to the folder name when records are stored, so it is read back from there.
 register(
     "scan_parsed_json",
     lambda s, d: _scan_with_source(s, d),
@@ -51,8 +50,7 @@ def _scan_with_source(s, d):
     path = work_dir(s, "parsed")
     writers.sink_parsed_json(payload(s, d).drop("ordinal"), path)
     rows = readers.scan_parsed_json(s, path, one_per_object=False).filter("_corrupt is null")
-    board = F.regexp_extract("object_key", "source=([^/]+)/", 1)
-    return rows.withColumn("source", F.coalesce("source", board)).select(*RAW, "parsed_at")
+    return rows.select(*RAW, "parsed_at")
 
 
 def _sink_parsed(s, d):
@@ -208,8 +206,7 @@ def _load(s, d):
     """Archive records, load them, load a changed part again; returns the table that leaves."""
     root = work_dir(s, "load")
     writers.sink_parsed_json(payload(s, d).drop("ordinal"), f"{root}/parsed")
-    board = F.regexp_extract("object_key", "source=([^/]+)/", 1)
-    rows = readers.scan_parsed_json(s, f"{root}/parsed", one_per_object=False).withColumn("source", board)
+    rows = readers.scan_parsed_json(s, f"{root}/parsed", one_per_object=False)
     loader.merge_jobs(s, f"{root}/jobs", validate.split_valid_rejected(rows).valid, ["object_key"], tb.as_of(), 4)
     again = rows.filter("cast(source_job_id as bigint) % 4 = 0").withColumn("title", F.concat("title", F.lit(" v2")))
     loader.merge_jobs(s, f"{root}/jobs", validate.split_valid_rejected(again).valid, ["object_key"], tb.as_of(), 4)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacancia.functions.dates import parse_since
-from vacancia.operators import alerts, merge, skills
+from vacancia.operators import alerts, frontier, merge, skills
 from vacancia.operators.quantiles import exact_percentiles
 from vacancia.plans import loader
 from vacancia.schemas import JOB_TABLE
@@ -114,9 +114,29 @@ def test_snapshot_keeps_vanished_rows(spark, tmp_path):
     assert got == [(1, "2024-01-01", "a"), (1, "2024-01-02", "c"), (2, "2024-01-02", "b")]
 
 
-def test_merge_beyond_the_named_partitions(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(merge, "MAX_NAMED_PARTITIONS", 1)
-    test_snapshot_keeps_vanished_rows(spark, tmp_path)
+def test_archived_records_keep_their_board(spark, tmp_path):
+    records = spark.createDataFrame([("itviec", "1", "A"), ("topcv", "2", "B")], "source string, source_job_id string, title string")
+    writers.sink_parsed_json(records, str(tmp_path / "parsed"))
+    rows = readers.scan_parsed_json(spark, str(tmp_path / "parsed"), one_per_object=False).collect()
+    assert sorted((r.source, r.source_job_id, r._corrupt) for r in rows) == [("itviec", "1", None), ("topcv", "2", None)]
+
+
+def test_outcomes_of_one_key_apply_in_order(spark, as_of):
+    board = spark.createDataFrame(
+        [("a", str(i), "in_progress", 0, None, None, None, None) for i in range(50)],
+        "source string, job_id string, status string, http_status int, error_message string, raw_object_key string, crawl_run_id string, crawled_at timestamp",
+    )
+    said = spark.createDataFrame(
+        [("a", "1", "success", 200, None, "obj", "run", 1), ("a", "1", "failed", 500, "boom", None, None, 2), ("a", "2", "failed", 500, "boom", None, None, 1),
+         ("a", "2", "success", 200, None, "o2", "r2", 2), ("a", "3", "expired", None, None, None, None, 1)],
+        "source string, job_id string, outcome string, http_status int, error string, raw_object_key string, run_id string, n int",
+    )
+    got = frontier.apply_outcomes(board, said, as_of(), "n")
+    assert got.count() == 50
+    rows = {r.job_id: r for r in got.collect()}
+    assert (rows["1"].status, rows["1"].http_status, rows["1"].error_message, rows["1"].raw_object_key) == ("failed", 500, "boom", "obj")
+    assert (rows["2"].status, rows["2"].http_status, rows["2"].error_message, rows["2"].raw_object_key) == ("success", 200, None, "o2")
+    assert (rows["3"].status, rows["3"].http_status) == ("expired", 404) and rows["3"].crawled_at and rows["4"].status == "in_progress"
 
 
 def test_first_n_for_a_hot_key(spark):

@@ -41,7 +41,7 @@ def test_function_decides_for_one_board_only(spark):
     assert classify(spark, "Data Engineer", "vietnamworks", "[]")[0] == "Data Engineer"
 
 
-def test_first_match_join_equals_inline(spark, monkeypatch):
+def test_first_match_join_equals_inline(spark):
     table = seeds.seed(spark, "job_level_map")
     titles = spark.createDataFrame(
         [(i, t) for i, t in enumerate(["Senior Intern", "Team Lead", "CVCC", None, "", "Giám đốc", "lead x", "zzz", "Senior Intern"])],
@@ -49,14 +49,28 @@ def test_first_match_join_equals_inline(spark, monkeypatch):
     )
     order = [F.col("priority"), F.length("keyword").desc(), F.col("keyword"), F.col("job_level")]
 
-    def run():
-        return sorted((r.id, r.lv) for r in rules.first_match(titles, "title", table, "keyword", {"job_level": "lv"}, order).collect() if r.lv)
+    def run(by_join):
+        return sorted((r.id, r.lv) for r in rules.first_match(titles, "title", table, "keyword", {"job_level": "lv"}, order, by_join).collect() if r.lv)
 
-    inline = run()
-    monkeypatch.setattr(rules, "MAX_INLINE_RULES", 3)
-    assert run() == inline and len(inline) == 6
+    inline = run(False)
+    assert run(True) == inline and len(inline) == 6
 
 
+def test_many_rules_whose_key_is_named_like_the_text(spark):
+    many = spark.createDataFrame([(i, f"word{i} ", f"out{i}") for i in range(1500)], "priority int, title string, level string")
+    titles = spark.createDataFrame([(1, "a word1499 b"), (2, "word7 word3 "), (3, "nothing"), (4, None)], "id int, title string")
+    for by_join in (False, True):
+        found = rules.first_match(titles, "title", many, "title", {"level": "lv"}, [many["priority"], many["title"]], by_join).collect()
+        assert {r.id: r.lv for r in found} == {1: "out1499", 2: "out3", 3: None, 4: None}
+
+
+def test_regex_rules_know_letters_beyond_ascii(spark):
+    rule = rules.TitleRule(r"k\w+ to\w+", "Accounting", 10, "regex")
+    rows = spark.createDataFrame([("Kế toán", "x", None)], "title string, source string, job_function string")
+    assert rules.classify_title(rows, [rule], {}).first().job_category == "Accounting"
+    many = spark.createDataFrame([("t%d" % i, "C%d" % i, i, "word_boundary", True) for i in range(700)], "pattern string, job_category string, priority int, match_mode string, is_active boolean")
+    assert rules.classify_title(rows.withColumn("title", F.lit("t699")), rules.load_title_rules(many), {}).first().job_category == "C699"
+
 def test_rule_tables(spark):
     assert len(seeds.synonym_pairs()) == normalize.skill_synonyms(spark).count() == 114
     assert len(seeds.lines(seeds.JOB_LEVEL_KEYWORDS)) == 42

@@ -41,7 +41,7 @@ def _code_point(n: Column) -> Column:
 
 
 def _entity_value(name: Column) -> Column:
-    table = literal_map(name2codepoint)
+    table = literal_map(name2codepoint | {"apos": 39})
     number = (
         F.when(name.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(name, 3, 6), 16, 10).cast("bigint"))
         .when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7).try_cast("bigint"))
@@ -54,7 +54,7 @@ def _entity_value(name: Column) -> Column:
 
 def decode_entities(c: Column) -> Column:
     """Decode the entities that occur in the text, '&' itself last so nothing decodes twice."""
-    names = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&(#?\w{1,10});"), F.lit(1)))
+    names = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&(#?\w+);"), F.lit(1)))
     pairs = F.filter(
         F.transform(names, lambda n: F.struct(n.alias("n"), _entity_value(n).alias("v"))),
         lambda p: p["v"].isNotNull(),

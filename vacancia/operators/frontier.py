@@ -56,22 +56,36 @@ def claim(frontier: DataFrame, n: int, as_of: Column, source: str | None = None)
     ])
 
 
-def apply_outcomes(frontier: DataFrame, outcomes: DataFrame, as_of: Column) -> DataFrame:
-    """Apply (source, job_id, outcome, http_status, error, raw_object_key, run_id) rows."""
-    o = outcomes.select(
-        *KEY, F.col("outcome").alias("_outcome"), F.col("http_status").alias("_http"),
-        F.col("error").alias("_error"), F.col("raw_object_key").alias("_obj"), F.col("run_id").alias("_run"),
-    )
-    kind = F.col("_outcome")
+def apply_outcomes(frontier: DataFrame, outcomes: DataFrame, as_of: Column, arrival: str | None = None) -> DataFrame:
+    """Apply (source, job_id, outcome, http_status, error, raw_object_key, run_id) rows.
+
+    Several outcomes of one key count as if applied one after another in the order of the
+    ``arrival`` column (ties, and all rows without it, by their values), reduced to one row a key
+    before the join.
+    """
+    kind = F.col("outcome")
     done, failed, gone = kind == "success", kind == "failed", kind == "expired"
+    values = ["outcome", "http_status", "error", "raw_object_key", "run_id"]
+    order = F.struct(*([arrival] if arrival else []), *values)
+
+    def last(value: Column, when: Column) -> Column:
+        """Boxed value of the last outcome for which ``when`` holds; null if there is none."""
+        return F.max_by(F.struct(value.alias("v")), F.when(when, order))
+
+    o = outcomes.groupBy(*KEY).agg(
+        last(kind, kind.isNotNull()).alias("_outcome"),
+        last(F.when(gone, 404).otherwise(F.col("http_status")), done | failed | gone).alias("_http"),
+        last(F.when(failed, F.substring("error", 1, 1000)), done | failed).alias("_error"),
+        last(F.col("raw_object_key"), done).alias("_obj"), last(F.col("run_id"), done).alias("_run"),
+        F.bool_or(F.coalesce(done | gone, F.lit(False))).alias("_closed"),
+    )
     rules = {
-        "status": F.coalesce(kind, F.col("status")),
-        "http_status": F.when(done | failed, F.col("_http")).when(gone, 404).otherwise(F.col("http_status")),
-        "error_message": F.when(done, F.lit(None)).when(failed, F.substring("_error", 1, 1000))
-        .otherwise(F.col("error_message")),
-        "raw_object_key": F.when(done, F.col("_obj")).otherwise(F.col("raw_object_key")),
-        "crawl_run_id": F.when(done, F.col("_run")).otherwise(F.col("crawl_run_id")),
-        "crawled_at": F.when(done | gone, as_of).otherwise(F.col("crawled_at")),
+        "status": F.coalesce("_outcome.v", "status"),
+        "http_status": F.when(F.col("_http").isNotNull(), F.col("_http.v")).otherwise(F.col("http_status")),
+        "error_message": F.when(F.col("_error").isNotNull(), F.col("_error.v")).otherwise(F.col("error_message")),
+        "raw_object_key": F.when(F.col("_obj").isNotNull(), F.col("_obj.v")).otherwise(F.col("raw_object_key")),
+        "crawl_run_id": F.when(F.col("_run").isNotNull(), F.col("_run.v")).otherwise(F.col("crawl_run_id")),
+        "crawled_at": F.when(F.col("_closed"), as_of).otherwise(F.col("crawled_at")),
     }
     joined = frontier.join(o, KEY, "left")
     return joined.select(*[rules.get(c, F.col(c)).alias(c) for c in frontier.columns])

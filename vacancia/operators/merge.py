@@ -168,22 +168,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-# Up to this many touched partitions are named in the read filter; beyond it everything is read.
-MAX_NAMED_PARTITIONS = 5000
-
 
 def _only_partitions(stored: DataFrame, touched: DataFrame) -> DataFrame:
     """Read only the partitions the batch touches.
 
     The partition values (board, bucket or day; never row data) become literals,
-    so pruning does not depend on a join strategy. The result may cover more
-    than the touched partitions only beyond the limit, where a semi join
-    narrows it.
+    so pruning does not depend on a join strategy. There are at most as many as
+    the stored table has partitions.
     """
     names = touched.columns
-    rows = touched.distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if len(rows) > MAX_NAMED_PARTITIONS:
-        return stored.join(touched.distinct(), names, "left_semi")
+    rows = touched.distinct().collect()
     if len(names) == 1:
         return stored.filter(F.col(names[0]).isin([r[0] for r in rows]))
     by_first: dict = {}

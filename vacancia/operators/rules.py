@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from vacancia.functions.jsontext import literal_map, sql_text
 
-# Rule tables up to this size become a CASE chain; larger ones go through a join.
-MAX_INLINE_RULES = 600
-
 
 @dataclass(frozen=True)
 class Ordered:
@@ -23,14 +20,9 @@ class Ordered:
     values: list[tuple]
 
 
-def collect_rules(rules: DataFrame, order: Sequence[Column], key: str, outputs: Sequence[str]) -> Ordered | None:
-    """Rules as literals, or None when there are too many to inline."""
-    rows = (
-        rules.orderBy(*order).select(F.lower(key).alias("_k"), *outputs)
-        .limit(MAX_INLINE_RULES + 1).collect()
-    )
-    if len(rows) > MAX_INLINE_RULES:
-        return None
+def collect_rules(rules: DataFrame, order: Sequence[Column], key: str, outputs: Sequence[str]) -> Ordered:
+    """Rules as literals."""
+    rows = rules.orderBy(*order).select(F.lower(key).alias("_k"), *outputs).collect()
     return Ordered([r[0] for r in rows], [tuple(r[1:]) for r in rows])
 
 
@@ -62,18 +54,19 @@ def pick(index: str, rules: Ordered, position: int, kind: str) -> Column:
 
 def first_match(
     df: DataFrame, text: str, rules: DataFrame, key: str, outputs: dict[str, str],
-    order: Sequence[Column],
+    order: Sequence[Column], by_join: bool = False,
 ) -> DataFrame:
     """Add ``outputs`` (rule column -> new name) of the first rule contained in df[text].
 
-    The order must be total. Small rule tables are evaluated row by row without
-    a shuffle; beyond MAX_INLINE_RULES the substrings of each distinct text that
-    could be a keyword are equi-joined with the rules instead.
+    The order must be total. The rules become a CASE chain that each row evaluates, without a
+    shuffle: right for tables a person maintains. A caller whose rule table grows with the data
+    says ``by_join``: no rule is collected, and the substrings of each distinct text that could be
+    a keyword are equi-joined with the rules. Both give the same rows, whatever the sizes.
     """
+    if by_join:
+        return _first_match_join(df, text, rules, key, outputs, order)
     kinds = {f.name: f.dataType.simpleString() for f in rules.schema.fields}
     inline = collect_rules(rules, order, key, list(outputs))
-    if inline is None:
-        return _first_match_join(df, text, rules, key, outputs, order)
     with_idx = df.withColumn("_rule_idx", contains_index(f"lower({text})", inline))
     return with_idx.select(
         *df.columns,
@@ -93,14 +86,14 @@ def _first_match_join(df, text, rules, key, outputs, order) -> DataFrame:
     substrings = F.flatten(F.array(*[cut(n) for n in lengths]))
     pieces = (
         df.select(text).where(F.col(text).isNotNull()).distinct()
-        .select(text, F.explode(F.array_distinct(substrings)).alias("_k"))
+        .select(F.col(text).alias("_text"), F.explode(F.array_distinct(substrings)).alias("_k"))
     )
     keyed = rules.withColumn("_k", F.lower(key))
     hits = pieces.join(keyed, "_k")
     from vacancia.operators.merge import first_per_key
 
-    best = first_per_key(hits, [text], order).select(text, *[F.col(c).alias(n) for c, n in outputs.items()])
-    return df.join(best, text, "left").select(*df.columns, *outputs.values())
+    best = first_per_key(hits, ["_text"], order).select("_text", *[F.col(c).alias(n) for c, n in outputs.items()])
+    return df.join(best, df[text] == best["_text"], "left").select(*[df[c] for c in df.columns], *[best[n] for n in outputs.values()])
 
 
 # ------------------------------------------------------------------ title rules
@@ -122,7 +115,7 @@ def _usable(spark, regex: str) -> bool:
         return False
     jvm = spark._jvm.java.util.regex.Pattern
     try:
-        jvm.compile(regex)
+        jvm.compile("(?U)" + regex)
     except Exception:  # noqa: BLE001 - the JVM error type is wrapped by the gateway
         return False
     return True
@@ -136,18 +129,16 @@ def _condition(title: str, rule: TitleRule) -> str:
         # The plain containment test is cheap and rejects nearly every title.
         word = sql_text(r"(?U)\b\Q" + low + r"\E\b")
         return f"(contains({title}, {sql_text(low)}) and {title} rlike {word})"
-    return f"{title} rlike {sql_text(low)}"
+    return f"{title} rlike {sql_text('(?U)' + low)}"
 
 
 def load_title_rules(rules: DataFrame) -> list[TitleRule]:
-    """Active rules by (priority, longest pattern, pattern, category); rule tables are small by contract."""
+    """Active rules by (priority, longest pattern, pattern, category), for ``classify_title``."""
     rows = (
         rules.filter("is_active")
         .orderBy("priority", F.length("pattern").desc(), "pattern", "job_category")
-        .limit(MAX_INLINE_RULES + 1).collect()
+        .collect()
     )
-    if len(rows) > MAX_INLINE_RULES:
-        raise ValueError(f"more than {MAX_INLINE_RULES} active title rules")
     return [TitleRule(r.pattern, r.job_category, r.priority, r.match_mode, True) for r in rows]
 
 

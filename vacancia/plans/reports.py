@@ -309,7 +309,7 @@ def inventory_delta(fact: DataFrame, day: Column) -> DataFrame:
 
     The ordering window covers at most three aggregated rows.
     """
-    days = fact.filter(F.col("snapshot_date") >= F.date_sub(day, 2)).groupBy("snapshot_date").agg(
+    days = fact.filter(F.col("snapshot_date").between(F.date_sub(day, 2), day)).groupBy("snapshot_date").agg(
         F.count("*").alias("jobs"), F.count_if("is_active").alias("active")
     )
     w = Window.orderBy("snapshot_date")
@@ -317,7 +317,7 @@ def inventory_delta(fact: DataFrame, day: Column) -> DataFrame:
 
 
 def quality_delta(fact: DataFrame, day: Column, points: float = 3.0) -> DataFrame:
-    days = fact.filter(F.col("snapshot_date") >= F.date_sub(day, 1)).groupBy("snapshot_date").agg(
+    days = fact.filter(F.col("snapshot_date").between(F.date_sub(day, 1), day)).groupBy("snapshot_date").agg(
         percent(F.count_if(F.col("job_category") == "Other"), F.count("*")).alias("pct_other"),
         percent(F.count_if(F.col("city_canonical").isNull()), F.count("*")).alias("pct_no_city"),
         percent(F.count("salary_vnd_monthly_avg"), F.count("*")).alias("pct_salary"),

@@ -118,15 +118,3 @@ def _typed(field: str) -> str:
 def scan_warehouse_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     table = spark.read.parquet(path)
     return table.select(*columns) if columns else table
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a table that has fewer input splits than the session has cores.
-
-    Per-row work on one large row group would otherwise run in one task. A table
-    of many files passes through unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -12,8 +12,8 @@ from vacancia.schemas import REJECTS
 
 
 def sink_parsed_json(records: DataFrame, path: str) -> None:
-    """Parsed records as JSON lines, one folder per board."""
-    records.write.mode("append").partitionBy("source").option("ignoreNullFields", False).json(path)
+    """Parsed records as JSON lines, one folder per board; the board also stays inside each document."""
+    records.withColumn("board", F.col("source")).write.mode("append").partitionBy("board").option("ignoreNullFields", False).json(path)
 
 
 def reject_rows(rejected: DataFrame, as_of: Column) -> DataFrame:
