@@ -91,7 +91,7 @@ dups as (
   from (select row, line, count(*) as n from line where regexp_matches(line, '{_WORD}') group by row, line) group by row
 ),
 m as (
-  select doc_id, len(words) as n_words, cast(coalesce(list_sum(list_transform(words, x -> length(x))), 0) as bigint) as word_chars,
+  select doc_id, len(words) as n_words, cast(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) as bigint) as word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
     cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(n_dup_lines, 0) as bigint) as n_dup_lines,
     coalesce(n_repeat_words, 0) as n_repeat_words, length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) as n_upper,
