@@ -249,13 +249,38 @@ def test_language_model_with_few_numbered_words(docs, rows, monkeypatch):
     assert len(few.numbers) <= 21 and ngram_lm.END.encode() in few.numbers
 
 
-def test_probes_never_fall_short(spark):
+def test_probes_never_fall_short(spark, monkeypatch):
     pairs = spark.createDataFrame([(i << 20 | i + 1, 1 + i % 70) for i in range(5000)], "pair long, n long")
-    bits = ngram_lm.build_filter(pairs)
     numbers = np.array([i << 20 | i + 1 for i in range(5000)])
-    got, true = ngram_lm.probe(bits, numbers), 1 + np.arange(5000) % 70
-    assert (got >= 2 ** np.floor(np.log2(true))).all() and (got <= true).mean() > 0.99
-    assert (ngram_lm.probe(bits, numbers + (1 << 41)) > 0).mean() < 0.01
+    true = 1 + np.arange(5000) % 70
+    for capacity, n_parts in ((ngram_lm.CAPACITY, 1), (9000, 3)):
+        monkeypatch.setattr(ngram_lm, "CAPACITY", capacity)
+        parts, rest = ngram_lm.build_filter(pairs)
+        assert len(parts) == n_parts and rest is None
+        got = ngram_lm.probe(parts, numbers)
+        assert (got >= 2 ** np.floor(np.log2(true))).all() and (got <= true).mean() > 0.99
+        assert (ngram_lm.probe(parts, numbers + (1 << 41)) > 0).mean() < 0.01
+    parts, rest = ngram_lm.build_filter(pairs, 1)
+    least = 1 + max(r.n for r in rest.collect())
+    assert 1 < least <= 70 and rest.count() == (true < least).sum()
+    got = ngram_lm.probe(parts, numbers)
+    assert (got[true >= least] > 0).all() and (got[true < least] > 0).mean() < 0.01
+
+
+def test_scores_do_not_depend_on_the_parts_of_the_filter(docs, monkeypatch):
+    def scores(**kw):
+        model = ngram_lm.train(docs.select("text"), **kw)
+        return len(model.parts), model.rest is None, sorted((r.doc_id is None, r.doc_id, round(r.score, 6)) for r in ngram_lm.score(docs, F.lit(False), model).collect())
+
+    one, all_held, want = scores()
+    assert (one, all_held) == (1, True)
+    assert scores(parts=0) == (0, False, want)  # every pair by the join
+    monkeypatch.setattr(ngram_lm, "CAPACITY", 3000)
+    monkeypatch.setattr(ngram_lm, "CHUNK", 500)
+    several, all_held, got = scores()
+    assert several > 1 and all_held and got == want
+    few, all_held, got = scores(parts=1)
+    assert few == 1 and not all_held and got == want
 
 
 def slow_measures(text):
