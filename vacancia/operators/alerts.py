@@ -61,9 +61,9 @@ def alert_match(
     Each subscription is filed under the values of one filter it sets (skills,
     else companies, cities, levels); jobs carry all their values, so matching is
     an equi-join plus the remaining filters. Subscriptions that set none of
-    these are filed under a salary band and meet the jobs of that band and
-    above; without a salary floor every job is theirs, and the pairs are the
-    result itself. The small side of the join is repeated ``salt`` times so one
+    these are filed under the salary bands from their floor's upwards, a job under
+    its own band alone; without a salary floor every job is theirs, and the pairs
+    are the result itself. The small side of the join is repeated ``salt`` times so one
     popular value is shared by several tasks.
     """
     active = subscriptions.filter(F.col("paused_until").isNull() | (F.col("paused_until") <= as_of))
@@ -72,14 +72,15 @@ def alert_match(
     def probe(dim: str, values: Column) -> Column:
         return F.transform(values, lambda v: F.struct(F.lit(dim).alias("dim"), v.alias("val")))
 
-    band = lambda c: F.floor(F.log2(F.greatest(c.cast("double"), F.lit(1.0)))).cast("string")
+    # Powers of two; a bigint has 63.
+    band = lambda c: F.floor(F.log2(F.greatest(c.cast("double"), F.lit(1.0)))).cast("int")
     floor = F.col("min_salary_vnd")
     wanted = (
         F.when(F.col("skills").isNotNull(), probe("skill", F.transform("skills", F.lower)))
         .when(F.col("companies").isNotNull(), probe("company", F.col("companies")))
         .when(F.col("cities").isNotNull(), probe("city", F.col("cities")))
         .when(F.col("job_levels").isNotNull(), probe("level", F.col("job_levels")))
-        .when(floor.isNotNull(), probe("salary", F.array(band(floor))))
+        .when(floor.isNotNull(), probe("salary", F.sequence(band(floor), F.lit(63)).cast("array<string>")))
         .otherwise(probe("any", F.array(F.lit("*"))))
     )
     subs = (
@@ -92,13 +93,9 @@ def alert_match(
         F.pmod(F.xxhash64(*JOB), F.lit(salt)).cast("int").alias("_salt"),
     )
     pay = F.col("salary_vnd_monthly_avg")
-    # A floor in band b is met by jobs of bands b and above: 33 bands cover the salary range.
-    pay_bands = F.when(pay.isNotNull(), F.transform(
-        F.sequence(F.lit(0), band(pay).cast("int")), lambda b: b.cast("string")
-    )).otherwise(F.array().cast("array<string>"))
     own = F.filter(F.flatten(F.array(
         probe("company", F.array("company_name")), probe("city", F.array("city_canonical")),
-        probe("level", F.array("job_level")), probe("salary", pay_bands), probe("any", F.array(F.lit("*"))),
+        probe("level", F.array("job_level")), probe("salary", F.array(F.when(pay.isNotNull(), band(pay)).cast("string"))), probe("any", F.array(F.lit("*"))),
     )), lambda k: k["val"].isNotNull())
     by_value = facts.withColumn("_k", F.explode(own)).select(*facts.columns, "_k.dim", "_k.val")
     by_skill = facts.join(tags.distinct(), JOB).select(
