@@ -1,11 +1,13 @@
 """Benchmark decontamination: SimHash of item-sized windows, a multi-index over Hamming blocks, exact verification.
 
 A document window counts as a leak of an item if it has the item's number of words and their
-multisets of word shingles are similar enough: sum of minima / sum of maxima. Such a window shares
-a shingle with an item, so windows are placed where a shingle of some item of that size stands, in
-line with it. Each is fingerprinted; the index returns every item of that size within RADIUS bits:
-if RADIUS bits are dealt to eight blocks of eight, one block has at most RADIUS // 8 of them, and
-for each block and value a bitmap names the items that near. Then the similarity is computed.
+multisets of word shingles are similar enough: sum of minima / sum of maxima. Two windows of n
+shingles that similar share at least 8 n / 9 of them, in any order. So in each document the
+shingles that stand in items of a size are marked, and every start whose window holds enough marks
+is looked at. Each such window is fingerprinted from rolling bit counts; the index returns every
+item of that size within RADIUS bits: if RADIUS bits are dealt to eight blocks of eight, one block
+has at most RADIUS // 8 of them, and for each block and value a bitmap names the items that near.
+Then the similarity is computed.
 """
 
 from __future__ import annotations
@@ -75,14 +77,14 @@ class SizeClass:
 class Index:
     vocabulary: dict[bytes, int]
     classes: dict[int, SizeClass]
-    #: width -> (sorted run keys, for each the (words of item, place) pairs where it stands)
-    anchors: dict[int, tuple[np.ndarray, list[list[tuple[int, int]]]]]
+    #: width -> (sorted run keys, for each the numbers of words of the items it stands in)
+    anchors: dict[int, tuple[np.ndarray, list[list[int]]]]
 
 
 def build(items: list[tuple[int, str | None]]) -> Index:
     """Index of (item_id, text); items without a word match nothing."""
     index = Index({}, {}, {})
-    places: dict[int, dict[int, set]] = {}
+    sizes: dict[int, dict[int, set]] = {}
     for item_id, text in sorted(items, key=lambda x: (x[0] is None, x[0])):
         words = ascii_words(text)
         if not words:
@@ -92,27 +94,56 @@ def build(items: list[tuple[int, str | None]]) -> Index:
         c.shingles.append(shingles(words))
         ids = np.array([index.vocabulary.setdefault(w, len(index.vocabulary) + 1) for w in words], np.uint64)
         width = min(WIDTH, len(words))
-        for q, key in enumerate(_run_keys(ids, width).tolist()):
-            places.setdefault(width, {}).setdefault(key, set()).add((len(words), q))
+        for key in _run_keys(ids, width).tolist():
+            sizes.setdefault(width, {}).setdefault(key, set()).add(len(words))
         fp = fingerprint(shingle_hashes(words, WIDTH))
         c.prints = np.append(np.zeros(0, np.uint64) if c.prints is None else c.prints, np.uint64(fp))
     values = np.arange(256, dtype=np.uint8)[:, None]
     for c in index.classes.values():
         blocks = c.prints.astype("<u8").view(np.uint8).reshape(-1, 8)
         c.near = np.stack([np.packbits(np.bitwise_count(values ^ blocks[:, b][None, :]) <= RADIUS // 8, axis=1) for b in range(8)])
-    for width, by_key in places.items():
+    for width, by_key in sizes.items():
         keys = sorted(by_key)
         index.anchors[width] = (np.array(keys, np.uint64), [sorted(by_key[k]) for k in keys])
     return index
 
 
+def _starts(marks: np.ndarray, n_words: int, size: int) -> np.ndarray:
+    """Starts of the windows of ``size`` words that hold enough of ``marks`` (sorted places of shingles of items of that size)."""
+    width = min(WIDTH, size)
+    n = size - width + 1
+    if n_words <= size:  # the whole text is the window; a shorter one can be similar with fewer of them
+        return np.zeros(1 if 5 * len(marks) >= 4 * n else 0, np.int64)
+    need = -(-8 * n // 9)
+    if len(marks) < need or (marks[need - 1 :] - marks[: len(marks) - need + 1]).min() >= n:
+        return np.zeros(0, np.int64)
+    before = np.zeros(n_words - width + 2, np.int32)
+    before[marks + 1] = 1
+    before = np.cumsum(before)
+    return np.flatnonzero(before[n:] - before[:-n] >= need)
+
+
+def _window_prints(hashes: np.ndarray, starts: np.ndarray, n: int):
+    """(start, fingerprint) of the windows of ``n`` shingles at the sorted ``starts``, by rolling counts of the bits."""
+    for group in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):
+        for at in range(0, len(group), 4096):
+            some = group[at : at + 4096]
+            part = hashes[some[0] : some[-1] + n]
+            counts = np.zeros((len(part) + 1, 64), np.int32)
+            np.cumsum(np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1), axis=0, out=counts[1:])
+            low = some - some[0]
+            high = np.minimum(low + n, len(part))
+            bits = 2 * (counts[high] - counts[low]) > (high - low)[:, None]
+            yield from zip(some.tolist(), np.packbits(bits, axis=1).view(">u8").reshape(-1).tolist())
+
+
 def find(index: Index, text: str | None) -> list[tuple[int, float, int, int]]:
     """(item_id, best similarity, its Hamming distance, first word of the first such window) for each item leaked."""
     words = ascii_words(text)
     get = index.vocabulary.get
     ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
-    windows: set[tuple[int, int]] = set()
-    for width, (keys, places) in index.anchors.items():
+    marks: dict[int, list[int]] = {}
+    for width, (keys, sizes) in index.anchors.items():
         runs = _run_keys(ids, width)
         at = np.flatnonzero(runs)
         if not len(at):
@@ -120,17 +151,25 @@ def find(index: Index, text: str | None) -> list[tuple[int, float, int, int]]:
         spot = np.minimum(np.searchsorted(keys, runs[at]), len(keys) - 1)
         hit = keys[spot] == runs[at]
         for p, s in zip(at[hit].tolist(), spot[hit].tolist()):
-            windows.update((size, min(max(p - q, 0), max(len(words) - size, 0))) for size, q in places[s])
+            for size in sizes[s]:
+                marks.setdefault(size, []).append(p)
     best: dict[int, tuple] = {}
-    for size, start in sorted(windows):
-        window, c = words[start : start + size], index.classes[size]
-        near = c.within(fingerprint(shingle_hashes(window, WIDTH)))
-        if near:
-            own = shingles(window)
-            for i, distance in near:
-                s = similarity(own, c.shingles[i])
-                if s >= SIMILAR and (c.items[i] not in best or s > best[c.items[i]][0]):
-                    best[c.items[i]] = (s, distance, start)
+    hashes: dict[int, np.ndarray] = {}
+    for size in sorted(marks):
+        starts = _starts(np.array(marks[size]), len(words), size)
+        if not len(starts):
+            continue
+        c, width = index.classes[size], min(WIDTH, size)
+        if width not in hashes:
+            hashes[width] = shingle_hashes(words, width)
+        for start, fp in _window_prints(hashes[width], starts, size - width + 1):
+            near = c.within(fp)
+            if near:
+                own = shingles(words[start : start + size])
+                for i, distance in near:
+                    s = similarity(own, c.shingles[i])
+                    if s >= SIMILAR and (c.items[i] not in best or s > best[c.items[i]][0]):
+                        best[c.items[i]] = (s, distance, start)
     return [(item, *best[item]) for item in sorted(best, key=lambda x: (x is None, x))]
 
 
