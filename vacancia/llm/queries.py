@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import bpe, decontamination, language_id, ngram_lm, packing, quality_classifier, quality_rules, sharding, simhash_dedup, token_counts, token_files
+from vacancia.llm import alignment, bpe, decontamination, language_id, line_dedup, merkle_manifest, ngram_lm, packing, quality_classifier, quality_rules, sharding
+from vacancia.llm import simhash_dedup, token_counts, token_files
 from vacancia.llm.common import fold, read_documents
 from vacancia.session import work_dir
 
@@ -65,11 +66,32 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``groups_sha256`` is the hash of the groups' list; of a text without tokens, the empty text."""
+    aligned = alignment.align(read_documents(spark, sf_dir), bpe.default_path(), bpe.default_path("piece_bpe_32k.model"))
+    return aligned.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is checked; rows where 7 divides the id's crc32 are checked with n_chars one too high."""
+    own = merkle_manifest.leaf_hash()
+    tampered = merkle_manifest.leaf_hash({"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1})
+    manifest = merkle_manifest.build(read_documents(spark, sf_dir), F.when(fold("doc_id", 7) == 0, tampered).otherwise(own))
+    found = merkle_manifest.proofs(manifest, spark)
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_holders``: documents that hold the most frequent of a document's dropped lines."""
+    kept = line_dedup.drop_repeated_lines(read_documents(spark, sf_dir), min_docs=3, least=20)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"), "n_holders")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_packing, op3_quality_classifier, op4_simhash_dedup, op5_ngram_lm, op6_language_id, op7_sharding, op8_token_files,
-        op9_decontamination, op10_quality_rules,
+        op9_decontamination, op10_quality_rules, op11_token_alignment, op12_merkle_manifest, op13_line_dedup,
     )
 }
 
