@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import functools
 import itertools
-import os
 import re
 
 import numpy as np
@@ -26,8 +25,8 @@ from vacancia.llm.common import batch_of, id_texts, merge_counts, slices, stored
 
 #: Merge steps of a piece.
 PIECE = 1 << 16
-#: Characters of text whose groups are encoded together, and groups that a worker remembers.
-CHUNK, CACHED_GROUPS = 2_000_000, 400_000
+#: Characters of text that are encoded together.
+CHUNK = 1_000_000
 #: Distinct links a task counts before it gives them on.
 HELD_LINKS = 1 << 19
 TASK_BITS = 40
@@ -46,73 +45,50 @@ PARTS = pa.schema([("row", pa.int64()), ("number", pa.int32()), ("doc_id", pa.in
 PARTS_DDL = "row long, number int, " + ALIGNED_DDL.replace("groups string", "head array<string>, groups string, tail array<string>")
 
 
-class PieceGroups:
-    """Encodes with a sentencepiece model through a cache of groups: a run of spaces and what follows up to the next space (the last with the spaces at the text's end).
+class Tokens:
+    """Both tokenizers, the bytes and lengths of their tokens, and the texts that ids are written as."""
 
-    Where no piece has a space after another character, nothing is merged across such a place, so
-    each group may be encoded on its own. The model puts a space before a text; the group's first
-    space stands for it.
-    """
-
-    def __init__(self, path: str):
+    def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.splits = not any(re.search("[^▁]▁", self.model.id_to_piece(i)) for i in range(len(self.model)))
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, which all begin with the space that the model adds."""
-        if not self.splits:
-            return [np.array(x, "<u4") for x in self.model.encode([t[1:] for t in texts], num_threads=1)]
-        if len(self.known) > CACHED_GROUPS:
-            self.known = dict(itertools.islice(self.known.items(), CACHED_GROUPS // 2, None))
-        cut = [[t] if "▁" in t else _GROUP.findall(t) for t in texts]  # that sign stands for a space
-        new = list({g for groups in cut for g in groups if g not in self.known})
-        fresh = {g: np.array(x, "<u4").tobytes() for g, x in zip(new, self.model.encode([g[1:] for g in new], num_threads=1))} if new else {}
-        self.known.update(fresh)
-        out = [np.frombuffer(b"".join([self.known[g] for g in groups]), "<u4") for groups in cut]
-        for g in fresh:
-            if len(g) > bpe.CACHED_CHARS:
-                del self.known[g]
-        return out
-
-
-_GROUP = re.compile(r" +[^ ]+(?: +\Z)?|\A +\Z")
-
-
-class Tokenizers:
-    """Both encoders, the bytes of their tokens, and texts for ids."""
-
-    def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = bpe.Groups(path_a, bytes), PieceGroups(path_b)
-        self.a.library.tokenizer.encode_special_tokens = True
-        self.a.library.specials = []  # their strings are plain text here
-        byte_of = {c: b for b, c in bpe.BYTE_CHARS.items()}
-        shown = (self.a.library.tokenizer.id_to_token(i) or "" for i in range(self.a.library.tokenizer.get_vocab_size()))
+        self.a, self.b = bpe.Library(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+        byte_of = {c: x for x, c in bpe.BYTE_CHARS.items()}
+        shown = (self.a.tokenizer.id_to_token(i) or "" for i in range(self.a.tokenizer.get_vocab_size()))
         self.bytes_a = [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in shown]
-        pieces = (self.b.model.id_to_piece(i) for i in range(len(self.b.model)))
+        pieces = (self.b.id_to_piece(i) for i in range(len(self.b)))
         self.bytes_b = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode() for p in pieces]
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        #: How ids are stored.
+        self.kind = "<u2" if max(len(self.bytes_a), len(self.bytes_b)) <= 1 << 16 else "<u4"
         # Ids as text, followed by what may stand after them in a list of groups.
         self.shown = [f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for end in ends for i in range(n)]
 
+    def encode_a(self, spaced: str) -> np.ndarray | None:
+        """A's ids; None if they don't give the text back."""
+        if self.a.ordinary is None:
+            ids = self.a.plain_ids(spaced).tolist()
+            return np.array(ids, self.kind) if b"".join([self.bytes_a[i] for i in ids]) == spaced.encode() else None
+        ids = self.a.ordinary.encode_ordinary(spaced)
+        return np.array(ids, self.kind) if self.a.ordinary.decode_bytes(ids) == spaced.encode() else None
+
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Both lists of ids; of texts that are null, empty or not given back by either, none."""
-        spaced = [" " + (t or "") for t in texts]
-        ids_a = [np.frombuffer(b"".join(v), "<u4") for v in self.a.values(spaced)]
-        out, none = [], np.zeros(0, "<u4")
-        for text, a, b in zip(spaced, ids_a, self.b.encode(spaced)):
-            data = text.encode("utf-8", "replace")
-            whole = text != " " and b"".join([self.bytes_a[i] for i in a.tolist()]) == data and b"".join([self.bytes_b[i] for i in b.tolist()]) == data
-            out.append((a, b) if whole else (none, none))
+        """Both lists of ids, A's of a space and the text; of texts that are null, empty or not given back by either, none."""
+        none, out = np.zeros(0, self.kind), []
+        of_b = iter(self.b.encode([t for t in texts if t], num_threads=1))
+        for text in texts:
+            a = b = None
+            if text:
+                ids = next(of_b)
+                if b"".join(map(self.bytes_b.__getitem__, ids)) == b" " + text.encode("utf-8", "replace"):
+                    a, b = self.encode_a(" " + text), np.array(ids, self.kind)
+            out.append((none, none) if a is None else (a, b))
         return out
 
 
 @functools.lru_cache(maxsize=1)
-def tokenizers(path_a: str, path_b: str) -> Tokenizers:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokenizers(path_a, path_b)
+def tokens(path_a: str, path_b: str) -> Tokens:
+    """The worker's; they outlive the task."""
+    return Tokens(path_a, path_b)
 
 
 def crossing(a: np.ndarray, b: np.ndarray, diagonal: int) -> tuple[int, int]:
@@ -135,7 +111,7 @@ def cut_pieces(docs: DataFrame, path_a: str, path_b: str, piece: int = PIECE) ->
     """Rows of PIECES: several whole texts, or (divided) a part of one with its number, both lists of ids and where their first tokens start."""
 
     def run(batches):
-        t, count = tokenizers(path_a, path_b), itertools.count(TaskContext.get().partitionId() << TASK_BITS)
+        t, count = tokens(path_a, path_b), itertools.count(TaskContext.get().partitionId() << TASK_BITS)
         docs, a, b, steps = [], [], [], 0
 
         def close():
@@ -173,8 +149,8 @@ def cut_pieces(docs: DataFrame, path_a: str, path_b: str, piece: int = PIECE) ->
 class Merged:
     """One piece: its ids, and the places in both lists of the ends they share."""
 
-    def __init__(self, row: dict, t: Tokenizers):
-        self.a, self.b = np.frombuffer(row["a"], "<u4").astype(np.int64), np.frombuffer(row["b"], "<u4").astype(np.int64)
+    def __init__(self, row: dict, t: Tokens):
+        self.a, self.b = (np.frombuffer(row[c], t.kind).astype(np.int64) for c in "ab")
         ends_a, ends_b = row["a_from"] + np.cumsum(t.len_a[self.a]), row["b_from"] + np.cumsum(t.len_b[self.b])
         _, self.at_a, self.at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
         #: A link is the pair of the tokens whose ranges end there, as one number.
@@ -189,7 +165,7 @@ def link_counts(pieces: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """
 
     def run(batches):
-        t = tokenizers(path_a, path_b)
+        t = tokens(path_a, path_b)
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for part in slices(batches, 16):
             found = [Merged(r, t).links for r in part.to_pylist()]
@@ -213,7 +189,7 @@ def _table(counts: DataFrame, n_b: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return links, n, n == highest[links % n_b]
 
 
-def _shown(t: Tokenizers, m: Merged) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _shown(t: Tokens, m: Merged) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The piece's groups written out as numbers of ``t.shown``, and the place there of each A and each B token.
 
     A group's A tokens stand before its B tokens; tokens behind the last shared end are a group of their own.
@@ -241,7 +217,7 @@ def _sums(m: Merged, table: tuple, lo: np.ndarray, hi: np.ndarray) -> tuple[np.n
 
 def _merge_whole(pieces: DataFrame, table: Broadcast, path_a: str, path_b: str) -> DataFrame:
     def run(batches):
-        t = tokenizers(path_a, path_b)
+        t = tokens(path_a, path_b)
         for part in slices(batches, 1):
             row = part.to_pylist()[0]
             m, docs = Merged(row, t), row["docs"]
@@ -263,7 +239,7 @@ def _merge_divided(pieces: DataFrame, table: Broadcast, path_a: str, path_b: str
     """What each piece of a divided text finds: its counts, its groups between the first and the last shared end, and the tokens outside of them."""
 
     def run(batches):
-        t = tokenizers(path_a, path_b)
+        t = tokens(path_a, path_b)
         for part in slices(batches, 1):
             row = part.to_pylist()[0]
             m, doc = Merged(row, t), row["docs"][0]
@@ -329,6 +305,6 @@ def align(docs: DataFrame, path_a: str, path_b: str, piece: int = PIECE) -> Data
     """
     pieces = stored(cut_pieces(docs, path_a, path_b, piece), "pieces")
     counts = link_counts(pieces, path_a, path_b)
-    table = docs.sparkSession.sparkContext.broadcast(_table(counts, len(tokenizers(path_a, path_b).bytes_b)))
+    table = docs.sparkSession.sparkContext.broadcast(_table(counts, len(tokens(path_a, path_b).bytes_b)))
     whole = _merge_whole(pieces, table, path_a, path_b)
     return whole.unionByName(_stitch(_merge_divided(pieces, table, path_a, path_b)))

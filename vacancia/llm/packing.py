@@ -42,7 +42,7 @@ def sentence_ends(path: str) -> np.ndarray:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         tokens = [model.id_to_piece(i) for i in range(len(model))]
     else:
-        t = bpe.id_groups(path).library.tokenizer
+        t = bpe.library(path).tokenizer
         tokens = [t.id_to_token(i) or "" for i in range(t.get_vocab_size())]
     newline = bpe.BYTE_CHARS[10]
     return np.array([x.removesuffix("</w>").endswith((".", "!", "?")) or newline in x or "\n" in x for x in tokens], bool)
