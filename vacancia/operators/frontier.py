@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancia.operators.merge import first_n_per_key, last_per_key, merge
@@ -34,26 +34,40 @@ def not_fresh(items: DataFrame, frontier: DataFrame, as_of: Column, days: int =
     return items.join(fresh_rows(frontier, as_of, days).select(*KEY), KEY, "left_anti")
 
 
-def claim(frontier: DataFrame, n: int, as_of: Column, source: str | None = None) -> DataFrame:
-    """Oldest n pending rows of each source become in_progress."""
+def oldest_pending(frontier: DataFrame, n: int, source: str | None = None) -> DataFrame:
+    """Keys of the oldest n pending rows of each source, by (first_seen_at, job_id); a missing first_seen_at sorts last.
+
+    Counts per source and hour find the hour in which the n-th row lies: earlier hours are taken
+    whole, and only that hour's rows are ranked.
+    """
     pending = frontier.filter(F.col("status") == "pending")
     if source is not None:
         pending = pending.filter(F.col("source") == source)
-    # A missing first_seen_at sorts last.
-    aged = pending.select(*KEY, F.col("first_seen_at").isNull().alias("_unseen"), "first_seen_at")
-    taken = first_n_per_key(aged, ["source"], ["_unseen", "first_seen_at", "job_id"], n).select(
-        *KEY, F.lit(True).alias("_taken")
-    )
-    hit = F.col("_taken").isNotNull()
-    joined = frontier.join(taken, KEY, "left")
-    return joined.select(*[
-        {
-            "status": F.when(hit, "in_progress").otherwise(F.col("status")),
-            "last_attempt_at": F.when(hit, as_of).otherwise(F.col("last_attempt_at")),
-            "retry_count": F.when(hit, F.col("retry_count") + 1).otherwise(F.col("retry_count")),
-        }.get(c, F.col(c)).alias(c)
-        for c in frontier.columns
-    ])
+    hour = F.coalesce(F.floor(F.unix_seconds("first_seen_at") / 3600), F.lit(2**62))
+    aged = pending.select(*KEY, "first_seen_at", hour.alias("_hour"))
+    counted = aged.groupBy("source", "_hour").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("source").orderBy("_hour")) - F.col("_n")
+    hours = counted.withColumn("_room", n - before).filter("_room > 0").select("source", "_hour", "_room", (F.col("_n") <= F.col("_room")).alias("_whole"))
+    near = aged.join(hours, ["source", "_hour"])
+    ranked = first_n_per_key(near.filter("not _whole"), ["source"], ["first_seen_at", "job_id"], n, rank="_rank")
+    return near.filter("_whole").select(*KEY).unionByName(ranked.filter("_rank <= _room").select(*KEY))
+
+
+def mark_claimed(frontier: DataFrame, keys: DataFrame, as_of: Column, token: str | None = None) -> DataFrame:
+    """Pending rows among ``keys`` become in_progress; with a token, rows that carry it already stay as they are."""
+    joined = frontier.join(keys.select(*KEY, F.lit(True).alias("_taken")), KEY, "left")
+    hit = F.col("_taken").isNotNull() & (F.col("status") == "pending")
+    if token is not None:
+        hit = hit & ~F.col("claim_token").eqNullSafe(F.lit(token))
+    changes = {"status": F.lit("in_progress"), "last_attempt_at": as_of, "retry_count": F.col("retry_count") + 1}
+    if token is not None:
+        changes["claim_token"] = F.lit(token)
+    return joined.select(*[(F.when(hit, changes[c]).otherwise(F.col(c)) if c in changes else F.col(c)).alias(c) for c in frontier.columns])
+
+
+def claim(frontier: DataFrame, n: int, as_of: Column, source: str | None = None) -> DataFrame:
+    """Oldest n pending rows of each source become in_progress."""
+    return mark_claimed(frontier, oldest_pending(frontier, n, source), as_of)
 
 
 def apply_outcomes(frontier: DataFrame, outcomes: DataFrame, as_of: Column, arrival: str | None = None) -> DataFrame:

@@ -17,17 +17,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def first_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salt: int = 32) -> DataFrame:
+def first_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salt: int = 32, rank: str | None = None) -> DataFrame:
     """The first n rows per key, for any n, without sorting a whole key in one task.
 
-    Rows compete inside salted slices first; only each slice's first n meet per key.
+    Rows compete inside salted slices first; only each slice's first n meet per key. ``rank`` names
+    a column for a row's place in its key, from 1.
     """
     slice_of = F.pmod(F.xxhash64(*order), F.lit(salt)).cast("int")
     local = Window.partitionBy(*keys, "_slice").orderBy(*order)
     final = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_slice", slice_of).withColumn("_rn", F.row_number().over(local)).filter(F.col("_rn") <= n)
-        .withColumn("_rn", F.row_number().over(final)).filter(F.col("_rn") <= n).drop("_slice", "_rn")
+        .withColumn("_rn", F.row_number().over(final)).filter(F.col("_rn") <= n).drop("_slice")
+        .withColumnRenamed("_rn", rank or "_rn").drop(*[] if rank else ["_rn"])
     )
 
 
@@ -151,18 +153,9 @@ def drift_upsert(log: DataFrame, entries: DataFrame, run_id: str, as_of: Column)
     )
 
 
-def newest_runs(generations: DataFrame, n: int = 3) -> DataFrame:
-    """Keep the rows of the n newest runs."""
-    newest = (
-        generations.groupBy("run_id").agg(F.max("run_at").alias("_at"))
-        .orderBy(F.desc("_at"), F.desc("run_id")).limit(n).select("run_id")
-    )
-    return generations.join(newest, "run_id", "left_semi").select(*generations.columns)
-
-
 # ------------------------------------------------------------------ stored tables
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.exists(p)
@@ -204,7 +197,7 @@ def merge_into_buckets(
     """
     batch = batch.withColumn("bucket", bucket_of(F.col(key), buckets))
     part = [by, "bucket"]
-    if _exists(spark, path):
+    if exists(spark, path):
         stored = spark.read.schema(extended(schema, "bucket", "int")).parquet(path)
         target = _only_partitions(stored, batch.select(*part)).select(*schema.names)
     else:
@@ -227,11 +220,7 @@ def rewrite_partition(df: DataFrame, path: str, partition: str) -> None:
 
 def merge_snapshot_into(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], partition: str) -> None:
     """merge_delete_insert on a stored table: reads and rewrites the incoming days only."""
-    if _exists(spark, path):
+    if exists(spark, path):
         stored = _only_partitions(spark.read.parquet(path), incoming.select(partition)).select(*incoming.columns)
         incoming = merge_delete_insert(stored, incoming, keys)
     rewrite_partition(incoming, path, partition)
-
-
-def append_generation(results: DataFrame, path: str) -> None:
-    results.write.mode("append").partitionBy("run_id").parquet(path)

@@ -1,4 +1,4 @@
-"""One normalization run: classify, record drift, keep the newest generations."""
+"""What a normalization run computes, and the rule tables it is seeded with."""
 
 from __future__ import annotations
 
@@ -12,22 +12,25 @@ from vacancia.operators.merge import first_per_key
 from vacancia.operators.rules import TitleRule, classify_title
 
 
-def normalize_run(
+def classified_jobs(
     jobs: DataFrame, rules: Sequence[TitleRule], run_id: str, as_of: Column, since: Column | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(results, drift entries) of a run over the jobs loaded since a moment."""
+) -> DataFrame:
+    """One generation of results over the jobs loaded since a moment; drift_value is the title that no rule knows."""
     rows = jobs if since is None else jobs.filter(F.col("loaded_at") >= since)
     classified = classify_title(rows, rules, seeds.as_dict(seeds.FUNCTION_CATEGORIES))
-    results = classified.select(
+    unknown = F.substring(F.coalesce("title", F.lit("")), 1, 200)
+    return classified.select(
         "source", "source_job_id", F.lit(run_id).alias("run_id"), as_of.alias("run_at"),
         "job_category", "category_method", "category_confidence", "category_matched_on",
+        F.when(F.col("category_method") == "default", unknown).alias("drift_value"),
     )
-    drift = classified.filter(F.col("category_method") == "default").select(
-        F.lit("category").alias("dimension"),
-        F.substring(F.coalesce("title", F.lit("")), 1, 200).alias("raw_value"),
-        "source",
+
+
+def drift_entries(generation: DataFrame) -> DataFrame:
+    """The unmapped values of a generation, as the drift log takes them."""
+    return generation.filter("drift_value is not null").select(
+        F.lit("category").alias("dimension"), F.col("drift_value").alias("raw_value"), "source"
     )
-    return results, drift
 
 
 # ------------------------------------------------------------------ rule seeding

@@ -109,6 +109,11 @@ REJECTS = struct_of(
     "reject_reason string, reject_detail string, payload string, rejected_at timestamp"
 )
 
+#: What replays of the quarantine have settled
+LEDGER = struct_of(
+    "payload_hash string, source string, source_job_id string, state string, settled_at timestamp, replay_id string"
+)
+
 #: raw.crawl_log
 FRONTIER = struct_of(
     "job_id string, source string, status string, url string, first_seen_at timestamp, "

@@ -34,15 +34,23 @@ def scan_parsed_json(
     return _since(reader, since).json(prefix).withColumn("object_key", F.col("_metadata.file_path"))
 
 
+def _objects(spark: SparkSession, prefix: str, glob: str) -> DataFrame:
+    """Paths and times of the objects below a prefix. Lists names only; no content is read."""
+    return (
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(prefix)
+        .select("path", "modificationTime")
+    )
+
+
+def count_objects(spark: SparkSession, prefix: str, glob: str = "*.json") -> int:
+    return _objects(spark, prefix, glob).count()
+
+
 def count_skipped(spark: SparkSession, prefix: str, since: dt.datetime | None) -> int:
-    """Objects older than ``since``. Lists names only; no content is read."""
+    """Objects older than ``since``."""
     if since is None:
         return 0
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
-        .option("recursiveFileLookup", True).load(prefix)
-    )
-    return listing.filter(F.col("modificationTime") < F.lit(since)).select("path").count()
+    return _objects(spark, prefix, "*.json").filter(F.col("modificationTime") < F.lit(since)).count()
 
 
 def scan_pages_gz(spark: SparkSession, prefix: str, suffix: str = ".html.gz") -> DataFrame:
