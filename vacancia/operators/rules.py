@@ -60,8 +60,8 @@ def first_match(
 
     The order must be total. The rules become a CASE chain that each row evaluates, without a
     shuffle: right for tables a person maintains. A caller whose rule table grows with the data
-    says ``by_join``: no rule is collected, and the substrings of each distinct text that could be
-    a keyword are equi-joined with the rules. Both give the same rows, whatever the sizes.
+    says ``by_join``: no rule is collected, and distinct texts meet the rules by q-grams
+    (``keyword_hits``). Both give the same rows, whatever the sizes.
     """
     if by_join:
         return _first_match_join(df, text, rules, key, outputs, order)
@@ -74,24 +74,47 @@ def first_match(
     )
 
 
-def _first_match_join(df, text, rules, key, outputs, order) -> DataFrame:
-    lengths = sorted(r[0] for r in rules.select(F.length(key)).distinct().collect())
-    low = F.lower(text)
-
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """Distinct substrings of the given lengths."""
     def cut(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(low) - (n - 1))
-        pieces = F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))
-        return F.when(F.length(low) >= n, pieces).otherwise(F.array().cast("array<string>"))
-
-    substrings = F.flatten(F.array(*[cut(n) for n in lengths]))
-    pieces = (
-        df.select(text).where(F.col(text).isNotNull()).distinct()
-        .select(F.col(text).alias("_text"), F.explode(F.array_distinct(substrings)).alias("_k"))
+        if not n:
+            return F.array(F.lit(""))
+        starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
+        pieces = F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+        return F.when(F.length(text) >= n, pieces).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.flatten(F.array(*[cut(n) for n in sizes])))
+
+
+def keyword_hits(texts: DataFrame, text: str, rules: DataFrame, key: str, q: int = 3) -> DataFrame:
+    """``texts`` beside every rule whose keyword is contained in the text, both lower-cased; any number of rules.
+
+    Each keyword is filed under one of its q-grams, the one that fewest texts hold (a shorter
+    keyword under itself). Texts meet the rules that are filed under their grams, and the keyword
+    itself is looked for there alone. ``texts`` should be distinct.
+    """
+    low = F.lower(key)
+    sizes = sorted(r[0] for r in rules.select(F.least(F.length(key), F.lit(q))).distinct().collect() if r[0] is not None)
+    if not sizes:
+        return texts.crossJoin(rules).limit(0)
+    held = texts.filter(F.col(text).isNotNull())
+    pieces = held.select(*texts.columns, F.explode(_grams(F.lower(text), sizes)).alias("_gram"))
+    own = rules.select(low.alias("_key")).distinct().select("_key", F.explode(_grams(F.col("_key"), sizes)).alias("_gram")).filter(
+        F.length("_gram") == F.least(F.length("_key"), F.lit(q))
     )
-    keyed = rules.withColumn("_k", F.lower(key))
-    hits = pieces.join(keyed, "_k")
+    seen = pieces.join(own.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count("*").alias("_n"))
+    from vacancia.operators.merge import first_per_key
+
+    filed = first_per_key(own.join(seen, "_gram", "left"), ["_key"], [F.coalesce("_n", F.lit(0)), F.col("_gram")]).select("_key", "_gram")
+    hits = pieces.join(filed, "_gram").filter(F.contains(F.lower(text), F.col("_key"))).drop("_gram")
+    # The rules stand first, so that a caller's columns of them keep their meaning.
+    return rules.withColumn("_key", low).join(hits, "_key").drop("_key")
+
+
+def _first_match_join(df, text, rules, key, outputs, order) -> DataFrame:
     from vacancia.operators.merge import first_per_key
 
+    hits = keyword_hits(df.select(F.col(text).alias("_text")).distinct(), "_text", rules, key)
     best = first_per_key(hits, ["_text"], order).select("_text", *[F.col(c).alias(n) for c, n in outputs.items()])
     return df.join(best, df[text] == best["_text"], "left").select(*[df[c] for c in df.columns], *[best[n] for n in outputs.values()])
 
