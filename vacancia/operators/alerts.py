@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vacancia import seeds
 from vacancia.functions.jsontext import literal_map
+from vacancia.session import work_dir
 
 JOB = ["source", "source_job_id"]
 
@@ -52,62 +53,68 @@ def new_jobs(silver: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
     return silver.filter((F.col("posted_at") > since) & F.col("is_active"))
 
 
+#: Pairs of a filter value that one task compares.
+PAIRS = 4_000_000
+
+
 def alert_match(
-    subscriptions: DataFrame, jobs: DataFrame, skill_long: DataFrame, alert_log: DataFrame, as_of: Column,
-    salt: int = 8,
+    subscriptions: DataFrame, jobs: DataFrame, alert_log: DataFrame, as_of: Column, pairs_per_task: int = PAIRS,
 ) -> DataFrame:
-    """(subscription_id, chat_id, source, source_job_id) not logged yet.
-
-    Each subscription is filed under the values of one filter it sets (skills,
-    else companies, cities, levels); jobs carry all their values, so matching is
-    an equi-join plus the remaining filters. Subscriptions that set none of
-    these are filed under the salary bands from their floor's upwards, a job under
-    its own band alone; without a salary floor every job is theirs, and the pairs
-    are the result itself. The small side of the join is repeated ``salt`` times so one
-    popular value is shared by several tasks.
+    """(subscription_id, chat_id, source, source_job_id) of new matches. ``jobs`` carry their skill names in the array ``tags``.
+
+    Each subscription is filed under the values of one filter it sets (skills, else companies,
+    cities, levels); jobs carry all their values, so matching is an equi-join plus the remaining filters.
+    Subscriptions that set none of these are filed under the salary bands from their floor's upwards,
+    a job under its own band alone; without a salary floor every job is theirs, and the pairs are the
+    result itself. The jobs are staged once. Counts of both sides say which values occur on both, the only ones
+    that are joined, and into how many slices a value's jobs are cut, so that no task gets many more
+    than ``pairs_per_task`` pairs. A pair is found under the first of its values alone: nothing is made distinct.
     """
+    spark = jobs.sparkSession
     active = subscriptions.filter(F.col("paused_until").isNull() | (F.col("paused_until") <= as_of))
-    tags = skill_long.select(*JOB, F.lower("skill_name_norm").alias("_tag"))
 
     def probe(dim: str, values: Column) -> Column:
         return F.transform(values, lambda v: F.struct(F.lit(dim).alias("dim"), v.alias("val")))
 
     # Powers of two; a bigint has 63.
     band = lambda c: F.floor(F.log2(F.greatest(c.cast("double"), F.lit(1.0)))).cast("int")
-    floor = F.col("min_salary_vnd")
+    floor, pay = F.col("min_salary_vnd"), F.col("salary_vnd_monthly_avg")
     wanted = (
-        F.when(F.col("skills").isNotNull(), probe("skill", F.transform("skills", F.lower)))
+        F.when(F.col("skills").isNotNull(), probe("skill", F.col("skills")))
         .when(F.col("companies").isNotNull(), probe("company", F.col("companies")))
         .when(F.col("cities").isNotNull(), probe("city", F.col("cities")))
         .when(F.col("job_levels").isNotNull(), probe("level", F.col("job_levels")))
         .when(floor.isNotNull(), probe("salary", F.sequence(band(floor), F.lit(63)).cast("array<string>")))
         .otherwise(probe("any", F.array(F.lit("*"))))
     )
-    subs = (
-        active.withColumn("_k", F.explode(F.array_distinct(wanted)))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        .select("subscription_id", "chat_id", "skills", "companies", "cities", "job_levels", "min_salary_vnd", "_k.dim", "_k.val", "_salt")
-    )
-    facts = jobs.select(
-        *JOB, "company_name", "city_canonical", "job_level", "salary_vnd_monthly_avg",
-        F.pmod(F.xxhash64(*JOB), F.lit(salt)).cast("int").alias("_salt"),
+    filed = active.withColumn("skills", F.transform("skills", F.lower)).withColumn("_k", F.explode(F.array_distinct(wanted))).select(
+        "subscription_id", "chat_id", "skills", "companies", "cities", "job_levels", "min_salary_vnd", "_k.dim", "_k.val"
     )
-    pay = F.col("salary_vnd_monthly_avg")
+    path = work_dir(spark, "new-jobs")
+    tags = F.array_distinct(F.transform(F.coalesce("tags", F.array().cast("array<string>")), F.lower))
+    jobs.select(*JOB, "company_name", "city_canonical", "job_level", "salary_vnd_monthly_avg", tags.alias("tags")).write.parquet(path)
+    facts = spark.read.parquet(path)
     own = F.filter(F.flatten(F.array(
-        probe("company", F.array("company_name")), probe("city", F.array("city_canonical")),
-        probe("level", F.array("job_level")), probe("salary", F.array(F.when(pay.isNotNull(), band(pay)).cast("string"))), probe("any", F.array(F.lit("*"))),
+        probe("skill", F.col("tags")), probe("company", F.array("company_name")), probe("city", F.array("city_canonical")), probe("level", F.array("job_level")),
+        probe("salary", F.array(F.when(pay.isNotNull(), band(pay)).cast("string"))), probe("any", F.array(F.lit("*"))),
     )), lambda k: k["val"].isNotNull())
     by_value = facts.withColumn("_k", F.explode(own)).select(*facts.columns, "_k.dim", "_k.val")
-    by_skill = facts.join(tags.distinct(), JOB).select(
-        *facts.columns, F.lit("skill").alias("dim"), F.col("_tag").alias("val")
+
+    def n(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("dim", "val").agg(F.count("*").alias(name))
+
+    loads = n(by_value, "_jobs").join(n(filed, "_subs"), ["dim", "val"]).select(
+        "dim", "val", F.ceil(F.col("_jobs") * F.col("_subs") / pairs_per_task).cast("int").alias("_slices")
     )
-    hits = by_value.unionByName(by_skill).join(subs, ["dim", "val", "_salt"])
+    subs = filed.join(loads, ["dim", "val"]).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))).drop("_slices")
+    sliced = by_value.join(loads, ["dim", "val"]).withColumn("_slice", F.pmod(F.xxhash64(*JOB), F.col("_slices")).cast("int")).drop("_slices")
+    hits = sliced.join(subs, ["dim", "val", "_slice"])
     fits = lambda col, arr: F.col(arr).isNull() | F.array_contains(F.col(arr), F.col(col))
-    kept = hits.filter(
-        fits("company_name", "companies") & fits("city_canonical", "cities") & fits("job_level", "job_levels")
+    first = (F.col("dim") != "skill") | (F.col("val") == F.get(F.array_intersect("skills", "tags"), F.lit(0)))
+    pairs = hits.filter(
+        first & fits("company_name", "companies") & fits("city_canonical", "cities") & fits("job_level", "job_levels")
         & (floor.isNull() | F.coalesce(pay >= floor, F.lit(False)))
-    )
-    pairs = kept.select("subscription_id", "chat_id", *JOB).distinct()
+    ).select("subscription_id", "chat_id", *JOB)
     return pairs.join(alert_log.select("subscription_id", "source_job_id"), ["subscription_id", "source_job_id"], "left_anti")
 
 

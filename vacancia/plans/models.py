@@ -195,6 +195,13 @@ def silver_company_dim(silver: DataFrame) -> DataFrame:
     )
 
 
+def skill_tags() -> Column:
+    """The source tags of a row as an array of names, lower-cased and without blanks around them."""
+    items = array_items(F.col("skills"), "id string, name string, weight string")
+    named = F.filter(items, lambda s: F.trim(s["name"]) != "")
+    return F.transform(named, lambda s: F.lower(F.trim(s["name"])))
+
+
 def silver_skill_long(silver: DataFrame) -> DataFrame:
     """One row per (job, source tag)."""
     tags = array_items(F.col("skills"), "id string, name string, weight string")
@@ -377,25 +384,20 @@ def mart_skill_demand_v2(silver: DataFrame, skills: DataFrame, day: Column) -> D
 
 
 def mart_skill_cooccurrence(skills: DataFrame, day: Column, min_jobs: int = 3) -> DataFrame:
-    """Skill pairs named by at least min_jobs job ids.
+    """Skill pairs named together by a board's job, counted by bare job id, at least min_jobs of them.
 
-    A pair cannot reach the threshold unless both skills do, so rare skills are
-    dropped before the self-join; that changes no result. The join is an
-    equi-join on the job, which the planner splits when one job is oversized,
-    and pair counts are pre-aggregated in every task.
+    One shuffle by job id serves all that follows but the counts: a job's skills become a sorted
+    array, its pairs are made from the array, boards that share an id agree on its distinct pairs in
+    place, and plain counts are summed up before they move.
     """
-    named = skills.select(*JOB, "skill_name")
-    frequent = (
-        named.groupBy("skill_name").agg(F.countDistinct("source_job_id").alias("_n"))
-        .filter(F.col("_n") >= min_jobs).select("skill_name")
-    )
-    kept = named.join(frequent, "skill_name", "left_semi")
-    a = kept.withColumnRenamed("skill_name", "skill_a")
-    b = kept.withColumnRenamed("skill_name", "skill_b")
-    pairs = a.join(b, JOB).filter(F.col("skill_a") < F.col("skill_b"))
+    by_id = skills.select(*JOB, "skill_name").filter("skill_name is not null").repartition("source_job_id")
+    named = by_id.groupBy(*JOB).agg(F.array_sort(F.collect_set("skill_name")).alias("s"))
+    pairs = F.flatten(F.transform("s", lambda a, i: F.transform(
+        F.slice("s", i + 2, F.size("s")), lambda b: F.struct(a.alias("skill_a"), b.alias("skill_b"))
+    )))
+    once = named.select("source_job_id", F.explode(pairs).alias("p")).select("source_job_id", "p.*").distinct()
     return (
-        pairs.groupBy("skill_a", "skill_b")
-        .agg(F.countDistinct("source_job_id").alias("cooccurrence_count"))
+        once.groupBy("skill_a", "skill_b").agg(F.count("*").alias("cooccurrence_count"))
         .filter(F.col("cooccurrence_count") >= min_jobs)
         .withColumn("snapshot_date", day)
     )
