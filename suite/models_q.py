@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from suite import testbed as tb
 from suite.registry import register
-from vacancia.plans import models
+from vacancia.plans import graph, models
+from vacancia.session import work_dir
 
 DAY = f"date '{tb.AS_OF_DAY}' as snapshot_date"
 
@@ -60,39 +63,45 @@ register(
       round_even(max(salary_vnd_monthly_max), 0) max_salary_vnd, {DAY}
     from silver where salary_vnd_monthly_avg is not null group by 1, 2, 3, 4""", "silver"),
 )
+
+def _mean(total: str, n: str) -> str:
+    return f"round_even(sum({total}) / nullif(sum({n}), 0), 0)"
+
+
+# Jobs and tags are summed up by id first; an id that several boards share multiplies its sums.
+tb.cte("salaries_by_id", ["silver"], """select source_job_id, count(*) jobs, sum(salary_vnd_monthly_avg) total, count(salary_vnd_monthly_avg) paid,
+    sum(salary_vnd_monthly_avg) filter (where job_level in ('Manager', 'Director+')) lead_total, count(salary_vnd_monthly_avg) filter (where job_level in ('Manager', 'Director+')) lead_paid,
+    sum(salary_vnd_monthly_avg) filter (where job_level = 'Senior') senior_total, count(salary_vnd_monthly_avg) filter (where job_level = 'Senior') senior_paid
+  from silver where job_category in ('Data Engineer', 'Data Analyst', 'AI Engineer', 'Data Scientist', 'Backend Developer', 'Other') group by source_job_id""")
+tb.cte("tags_by_id", ["skill_long"], "select source_job_id, skill_name_norm skill, count(*) tags, sum(skill_weight) weight from skill_long group by all")
+tb.cte("mart_demand", ["salaries_by_id", "tags_by_id"], f"""select skill, count(*) n_jobs, floor((2000 * count(*) + whole) / (2 * whole)) / 10 pct_of_jobs,
+    {_mean('tags * total', 'tags * paid')} avg_salary_vnd, {_mean('tags * lead_total', 'tags * lead_paid')} avg_salary_manager_vnd, {_mean('tags * senior_total', 'tags * senior_paid')} avg_salary_senior_vnd,
+    floor((20 * sum(weight * jobs) + sum(tags * jobs)) / (2 * sum(tags * jobs))) / 10 avg_weight, {DAY}
+  from tags_by_id join salaries_by_id using (source_job_id), (select sum(jobs) whole from salaries_by_id) group by skill, whole having count(*) > 1""")
 register(
     "mart_skill_demand",
     lambda s, d: models.mart_skill_demand(
         (silver := tb.silver(s, d)), models.silver_skill_long(silver), tb.day()
     ),
-    tb.sql(f"""with j as (select * from silver where job_category in ('Data Engineer', 'Data Analyst', 'AI Engineer',
-        'Data Scientist', 'Backend Developer', 'Other')), t as (select count(*) n from j)
-    select skill_name_norm skill, count(distinct s.source_job_id) n_jobs,
-      floor((2000 * count(distinct s.source_job_id) + t.n) / (2 * t.n)) / 10 pct_of_jobs,
-      round_even(avg(j.salary_vnd_monthly_avg), 0) avg_salary_vnd,
-      round_even(avg(j.salary_vnd_monthly_avg) filter (where j.job_level in ('Manager', 'Director+')), 0) avg_salary_manager_vnd,
-      round_even(avg(j.salary_vnd_monthly_avg) filter (where j.job_level = 'Senior'), 0) avg_salary_senior_vnd,
-      floor((20 * sum(skill_weight) + count(*)) / (2 * count(*))) / 10 avg_weight, {DAY}
-    from skill_long s join j on j.source_job_id = s.source_job_id cross join t
-    group by skill_name_norm, t.n having count(distinct s.source_job_id) >= 2""", "silver", "skill_long"),
+    tb.sql("select * from mart_demand", "mart_demand"),
 )
+
+_PAY = "salary_vnd_monthly_avg"
 register(
     "mart_skill_demand_v2",
     lambda s, d: models.mart_skill_demand_v2(
         (silver := tb.silver(s, d)),
         models.silver_skill_unified(models.silver_skill_long(silver), tb.skill_enriched(s, d)), tb.day(),
     ),
-    tb.sql(f"""with t as (select count(*) n from silver)
-    select skill_name skill, max(skill_category) skill_category, count(distinct s.source_job_id) n_jobs,
-      floor((2000 * count(distinct s.source_job_id) + t.n) / (2 * t.n)) / 10 pct_of_jobs,
-      round_even(avg(salary_vnd_monthly_avg), 0) avg_salary_vnd,
-      round_even(avg(salary_vnd_monthly_avg) filter (where job_level in ('Manager', 'Director+')), 0) avg_salary_manager_vnd,
-      round_even(avg(salary_vnd_monthly_avg) filter (where job_level = 'Senior'), 0) avg_salary_senior_vnd,
-      count(*) filter (where importance = 'required') n_required, count(*) filter (where importance = 'preferred') n_preferred,
-      count(*) filter (where extraction_method = 'llm') n_llm_extracted,
-      count(*) filter (where extraction_method = 'source_tag') n_source_tagged, {DAY}
-    from skill_unified s join silver j on j.source = s.source and j.source_job_id = s.source_job_id cross join t
-    group by skill_name, t.n having count(distinct s.source_job_id) >= 2""", "silver", "skill_unified"),
+    tb.sql(f"""with marked as (select u.*, {_PAY} pay, case when job_level in ('Manager', 'Director+') then {_PAY} end lead_pay, case when job_level = 'Senior' then {_PAY} end senior_pay
+        from skill_unified u join silver using (source, source_job_id)),
+    by_id as (select skill_name, source_job_id, max(skill_category) kind, sum(pay) pay, count(pay) paid, sum(lead_pay) lead_pay, count(lead_pay) lead_paid, sum(senior_pay) senior_pay,
+        count(senior_pay) senior_paid, sum((importance = 'required')::int) must, sum((importance = 'preferred')::int) nice, sum((extraction_method = 'llm')::int) llm, count(*) marks
+      from marked group by skill_name, source_job_id)
+    select skill_name skill, max(kind) skill_category, count(*) n_jobs, floor((2000 * count(*) + whole) / (2 * whole)) / 10 pct_of_jobs, {_mean('pay', 'paid')} avg_salary_vnd,
+      {_mean('lead_pay', 'lead_paid')} avg_salary_manager_vnd, {_mean('senior_pay', 'senior_paid')} avg_salary_senior_vnd, cast(coalesce(sum(must), 0) as bigint) n_required,
+      cast(coalesce(sum(nice), 0) as bigint) n_preferred, cast(sum(llm) as bigint) n_llm_extracted, cast(sum(marks) - sum(llm) as bigint) n_source_tagged, {DAY}
+    from by_id, (select count(*) whole from silver) group by skill_name, whole having count(*) > 1""", "silver", "skill_unified"),
 )
 register(
     "mart_skill_cooccurrence",
@@ -109,24 +118,68 @@ register(
     from skill_unified s join fact d on d.source = s.source and d.source_job_id = s.source_job_id
     where is_active group by 1, 2 having count(distinct d.source_job_id) >= 2""", "skill_unified", "fact"),
 )
+# One text of all a job's skills, so that a flag is one search in it.
+tb.cte("skill_texts", ["skill_long"], "select source, source_job_id, '|' || string_agg(skill_name_norm, '|') || '|' names, count(*) n_skills from skill_long group by all")
+
+
+def _named_any(*parts: str) -> str:
+    return " or ".join(f"coalesce(contains(names, '{p}'), false)" for p in parts)
+
+
 register(
     "job_features",
     lambda s, d: models.job_features((silver := tb.silver(s, d)), models.silver_skill_long(silver), tb.day()),
-    tb.sql(f"""with c as (select company_id, count(*) n from silver where company_id is not null group by 1),
-    f as (select source, source_job_id, bool_or(skill_name_norm = 'python') has_python, bool_or(skill_name_norm = 'sql') has_sql,
-      bool_or(regexp_matches(skill_name_norm, 'aws|cloud|azure|gcp')) has_aws_cloud,
-      bool_or(regexp_matches(skill_name_norm, 'ml|ai|llm|machine|deep')) has_ml_ai,
-      bool_or(regexp_matches(skill_name_norm, 'spark|hadoop|kafka|flink')) has_bigdata,
-      bool_or(regexp_matches(skill_name_norm, 'power bi|tableau|looker|qlik')) has_bi_tool, count(*) n_skills
-      from skill_long group by 1, 2)
-    select j.source, j.source_job_id, {DAY}, salary_vnd_monthly_avg, is_salary_visible has_salary_visible,
-      coalesce(has_python, false) has_python, coalesce(has_sql, false) has_sql, coalesce(has_aws_cloud, false) has_aws_cloud,
-      coalesce(has_ml_ai, false) has_ml_ai, coalesce(has_bigdata, false) has_bigdata, coalesce(has_bi_tool, false) has_bi_tool,
-      coalesce(n_skills, 0) n_skills, job_level in ('Senior', 'Manager', 'Director+') is_senior,
-      (coalesce(employment_type, '') ilike '%remote%' or regexp_matches(lower(title), 'remote|wfh|work from home')) is_remote,
-      job_level, city_canonical, region, degree_label, company_size_bucket, coalesce(c.n, 1) company_n_active_jobs,
-      coalesce(num_of_views, 0) num_of_views, coalesce(num_of_applications, 0) num_of_applications,
-      date_diff('day', cast(posted_at as date), date '{tb.AS_OF_DAY}') days_since_posted, parsed_at
-    from silver j left join c on c.company_id = j.company_id
-    left join f on f.source = j.source and f.source_job_id = j.source_job_id""", "silver", "skill_long"),
+    tb.sql(f"""select source, source_job_id, {DAY}, salary_vnd_monthly_avg, is_salary_visible has_salary_visible, {_named_any('|python|')} has_python, {_named_any('|sql|')} has_sql,
+      {_named_any(*'aws cloud azure gcp'.split())} has_aws_cloud, {_named_any(*'ml ai llm machine deep'.split())} has_ml_ai, {_named_any(*'spark hadoop kafka flink'.split())} has_bigdata,
+      {_named_any('power bi', 'tableau', 'looker', 'qlik')} has_bi_tool, coalesce(n_skills, 0) n_skills, list_contains(['Senior', 'Manager', 'Director+'], job_level) is_senior,
+      contains(lower(coalesce(employment_type, '')), 'remote') or regexp_matches(lower(title), 'remote|wfh|work from home') is_remote,
+      job_level, city_canonical, region, degree_label, company_size_bucket, case when company_id is null then 1 else count(*) over (partition by company_id) end company_n_active_jobs,
+      coalesce(num_of_views, 0) num_of_views, coalesce(num_of_applications, 0) num_of_applications, date '{tb.AS_OF_DAY}' - cast(posted_at as date) days_since_posted, parsed_at
+    from silver left join skill_texts using (source, source_job_id)""", "silver", "skill_texts"),
+)
+
+
+# ------------------------------------------------------------------ the stored graph
+
+STORED = [("stg_job_detail", "view"), ("silver_skill_enriched", "view")]
+_BUILT_AGAIN = "fct_jobs_daily mart_company_hiring mart_salary_by_level mart_skill_demand mart_skill_demand_v2 mart_skill_cooccurrence mart_skill_trend job_features".split()
+
+
+def _graph(s, d):
+    """Three runs of the stored graph, the second unchanged, the third a day later: what each did, and tables read back."""
+    tables = [f"{d}/{t}.parquet" for t in ("orders", "lineitem", "customer", "nation", "region", "part")]
+    mark = graph.files_fingerprint(s, *tables)
+    sources = {n: graph.Source(f(s, d), mark) for n, f in (("jobs", tb.jobs), ("generations", tb.generations), ("skill_log", tb.skill_log))}
+    stored = graph.Graph(s, work_dir(s, "graph"), graph.warehouse(tb.lookups(s, d)))
+    said = []
+    for run, day in (("run1", tb.PREV_DAY), ("run2", tb.PREV_DAY), ("run3", tb.AS_OF_DAY)):
+        done = stored.run(sources, {"as_of": f"timestamp '{tb.AS_OF}'", "day": f"date '{day}'"})
+        said += [(run, name, action) for name, action in done]
+    report = s.createDataFrame(said, "part string, name string, detail string").selectExpr("*", "cast(null as bigint) as n", "cast(null as double) as v")
+    trend = stored.frames["mart_skill_trend"].selectExpr("'trend' as part", "skill as name", "cast(week as string) as detail", "n_jobs as n", "cast(avg_salary_m as double) as v")
+    days = stored.frames["fct_jobs_daily"].groupBy("snapshot_date").agg(F.count("*").alias("n"), F.max("salary_vnd_monthly_avg").alias("v")).selectExpr(
+        "'fact' as part", "cast(snapshot_date as string) as name", "cast(null as string) as detail", "n", "v")
+    pay = stored.frames["mart_salary_by_level"].selectExpr(
+        "'salary' as part", "concat_ws('|', job_category, job_level, city_canonical, region) as name", "cast(snapshot_date as string) as detail", "n_visible_jobs as n", "p50_vnd as v")
+    return report.unionByName(trend).unionByName(days).unionByName(pay)
+
+
+def _said() -> list[tuple[str, str, str]]:
+    names = [x.name for x in graph.warehouse(None)]
+    out = []
+    for run in ("run1", "run2", "run3"):
+        for name in names:
+            changed = run == "run1" or run == "run3" and name in _BUILT_AGAIN
+            out.append((run, name, dict(STORED).get(name, "built" if changed else "kept")))
+    return out
+
+
+register(
+    "model_graph", _graph,
+    tb.sql("select part, name, detail, null::bigint n, null::double v from (" + tb.values(_said(), "part, name, detail") + f""")
+    union all select 'trend', skill_name, cast(cast(date_trunc('week', {DAY.split(' as ')[0]}) as date) as varchar), count(distinct source_job_id), floor(avg(salary_vnd_monthly_avg) / 100000.0::double + 0.5::double) / 10.0::double
+      from skill_unified join silver using (source, source_job_id) where is_active group by skill_name having count(distinct source_job_id) > 1
+    union all select 'fact', cast(day as varchar), null, count(*), max(salary_vnd_monthly_avg) from silver, (select unnest([date '{tb.PREV_DAY}', date '{tb.AS_OF_DAY}']) as day) group by day
+    union all select 'salary', concat_ws('|', job_category, job_level, coalesce(city_canonical, 'Unknown'), coalesce(region, 'Unknown')), '{tb.AS_OF_DAY}', count(*), round_even(quantile_cont(salary_vnd_monthly_avg, 0.5), 0)
+      from silver where salary_vnd_monthly_avg is not null group by job_category, job_level, city_canonical, region""", "silver", "skill_unified"),
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from suite import testbed as tb
@@ -12,6 +14,7 @@ from vacancia.functions.jsontext import is_json_array, is_non_blank
 from vacancia.functions.numeric import percent
 from vacancia.operators import frontier as fr
 from vacancia.operators import merge, normalize, quality, rules, skills, validate
+from vacancia.operators.runs import RunStore
 from vacancia.plans import loader, models, reports
 from vacancia.schemas import JOB_TABLE, KEY
 from vacancia.session import work_dir
@@ -56,10 +59,10 @@ def _scan_with_source(s, d):
 def _sink_parsed(s, d):
     path = work_dir(s, "parsed")
     writers.sink_parsed_json(payload(s, d).drop("ordinal"), path)
-    return s.read.json(path).groupBy("source").agg(F.count("*").alias("n"), F.count("title").alias("titles"))
+    return s.read.json(path).select(*RAW, "parsed_at", "posted_at", "job_function", "board")
 
 
-register("sink_parsed_json", _sink_parsed, tb.sql("select source, count(*) n, count(title) titles from postings group by 1", "postings"))
+register("sink_parsed_json", _sink_parsed, tb.sql(f"select {RAW_SQL}, parsed_at, posted_at, job_function, source board from payload", "payload"))
 
 register(
     "skip_already_parsed",
@@ -145,17 +148,29 @@ register(
 
 
 def _archive(s, d):
+    """What the archive holds, row by row, beside the counts it reported."""
     path = work_dir(s, "archive")
-    return writers.archive_parquet_zstd({
+    counts = writers.archive_parquet_zstd({
         "orders": tb.read(s, d, "orders"), "embeddings": tb.read(s, d, "embeddings"),
         "postings": tb.postings(s, d).select(*RAW),
     }, path)
+    rows = {
+        "orders": ["cast(o_orderkey as string)", "concat_ws('|', o_custkey, o_orderstatus, o_orderpriority)"],
+        "embeddings": ["cast(vec_id as string)", "concat_ws('|', label, json_array_length(embedding))"],
+        "postings": ["concat(source, ' ', source_job_id)", "concat_ws('|', title, company_name, skills, locations)"],
+    }
+    out = None
+    for name, (key, content) in rows.items():
+        part = s.read.parquet(f"{path}/{name}").selectExpr(f"'{name}' as table_name", f"{key} as key", f"{content} as content")
+        out = part if out is None else out.unionByName(part)
+    return out.join(counts, "table_name")
 
 
 register(
     "archive_parquet_zstd", _archive,
-    """select 'orders' as table_name, count(*) n_rows from orders union all select 'embeddings', count(*) from embeddings
-    union all select 'postings', count(*) from orders""",
+    tb.sql("""select 'orders' as table_name, cast(o_orderkey as varchar) as key, concat_ws('|', o_custkey, o_orderstatus, o_orderpriority) as content, (select count(*) from orders) n_rows from orders
+    union all select 'embeddings', cast(vec_id as varchar), concat_ws('|', label, len(embedding)), (select count(*) from embeddings) from embeddings
+    union all select 'postings', source || ' ' || source_job_id, concat_ws('|', title, company_name, skills, locations), (select count(*) from orders) from postings""", "postings"),
 )
 
 
@@ -230,12 +245,19 @@ def _stream(s, d):
     stream_ingest(
         s, f"{root}/parsed", f"{root}/jobs", f"{root}/rejects", f"{root}/checkpoint", tb.as_of(), 4, one_per_object=False,
     ).awaitTermination()
-    loaded = s.read.schema(JOB_TABLE).parquet(f"{root}/jobs").select(*KEY, F.lit("loaded").alias("state"))
-    refused = s.read.parquet(f"{root}/rejects").select(*KEY, F.col("reject_reason").alias("state"))
+    loaded = s.read.schema(JOB_TABLE).parquet(f"{root}/jobs").select(*KEY, F.lit("loaded").alias("state"), "title", "salary_min", "skills", "parsed_at")
+    refused = s.read.parquet(f"{root}/rejects").select(
+        *KEY, F.col("reject_reason").alias("state"), F.get_json_object("payload", "$.title").alias("title"),
+        F.get_json_object("payload", "$.salary_min").cast("double").alias("salary_min"), F.get_json_object("payload", "$.skills").alias("skills"),
+        F.get_json_object("payload", "$.parsed_at").cast("timestamp").alias("parsed_at"),
+    )
     return loaded.unionByName(refused)
 
 
-register("stream_ingest", _stream, tb.sql("select source, source_job_id, coalesce(reject_reason, 'loaded') state from checked", "checked"))
+register(
+    "stream_ingest", _stream,
+    tb.sql("select source, source_job_id, coalesce(reject_reason, 'loaded') state, title, salary_min, skills, cast(parsed_at as timestamp) parsed_at from checked", "checked"),
+)
 
 # ------------------------------------------------------------------ merges
 
@@ -298,40 +320,47 @@ register(
     tb.sql("""select source, source_job_id, case when ordinal % 5 = 2 then 'unknown' else parser_version end parser_version,
       cast(parsed_at as timestamp) parsed_at, cast(expired_at as timestamp) expired_at, '[]' services, skills from payload""", "payload"),
 )
-register(
-    "append_generation",
-    lambda s, d: _append_generation(s, d),
-    tb.sql("select run_id, job_category, count(*) n from generations where run_id in ('run1', 'run2') group by all", "generations"),
-)
+RUN_DAYS = [dt.datetime(2001, 6, 20 + i) for i in range(1, 5)]
 
 
-def _append_generation(s, d):
-    path = work_dir(s, "generations")
+def _stored_generations(s, d):
+    """Four runs, the second one stored twice."""
+    store = RunStore(s, work_dir(s, "generations"))
     g = tb.generations(s, d)
-    for run in ("run1", "run2"):
-        merge.append_generation(g.filter(F.col("run_id") == run), path)
-    return s.read.parquet(path).groupBy("run_id", "job_category").agg(F.count("*").alias("n"))
+    for i in (1, 2, 3, 4, 2):
+        store.append(g.filter(F.col("run_id") == f"run{i}"), f"run{i}", RUN_DAYS[i - 1])
+    return store
+
+
+def _pruned(s, d):
+    store = _stored_generations(s, d)
+    gone = store.prune(3)
+    return store.generations().withColumn("rows_gone", F.lit(gone).cast("bigint"))
 
 
 register(
-    "prune_keep_newest_runs",
-    lambda s, d: merge.newest_runs(tb.generations(s, d), 3),
-    tb.sql("select * from generations where run_id in (select run_id from generations group by 1 order by max(run_at) desc limit 3)", "generations"),
+    "append_generation", lambda s, d: _stored_generations(s, d).generations(), tb.sql("select * from generations", "generations"),
+)
+register(
+    "prune_keep_newest_runs", _pruned,
+    tb.sql("""select *, (select count(*) from orders) rows_gone from generations
+      where run_id in (select run_id from generations group by 1 order by max(run_at) desc limit 3)""", "generations"),
 )
 
 DRIFT_STATUS = "case o_orderkey % 3 when 0 then 'resolved' when 1 then 'new' else 'reviewed' end"
 
 
 def _drift(s, d):
+    """A log of a value for each order; the run finds each twice, under the doubled number."""
     orders = tb.read(s, d, "orders")
     tb.pin_utc(s)
-    log = orders.filter("o_orderkey % 4 = 0").selectExpr(
+    log = orders.selectExpr(
         "'run0' as run_id", "'category' as dimension", "'title ' || o_orderkey as raw_value", "'itviec' as source",
         "cast(o_orderkey % 5 + 1 as int) as frequency", "cast(o_orderdate as timestamp) as first_seen_at",
         "cast(o_orderdate as timestamp) as last_seen_at", f"{DRIFT_STATUS} as status",
     )
-    entries = orders.filter("o_orderkey % 6 = 0").selectExpr(
-        "explode(array(1, 2)) as c", "'category' as dimension", "'title ' || o_orderkey as raw_value", "'itviec' as source"
+    entries = orders.selectExpr(
+        "explode(array(1, 2)) as c", "'category' as dimension", "'title ' || o_orderkey * 2 as raw_value", "'itviec' as source"
     )
     return merge.drift_upsert(log, entries, "run1", tb.as_of())
 
@@ -340,8 +369,8 @@ register(
     "drift_upsert", _drift,
     f"""with l as (select 'run0' run_id, 'category' dimension, 'title ' || o_orderkey raw_value, 'itviec' source,
       cast(o_orderkey % 5 + 1 as int) frequency, o_orderdate first_seen_at, o_orderdate last_seen_at, {DRIFT_STATUS} status
-      from orders where o_orderkey % 4 = 0),
-    e as (select 'category' dimension, 'title ' || o_orderkey raw_value, 'itviec' source from orders where o_orderkey % 6 = 0)
+      from orders),
+    e as (select 'category' dimension, 'title ' || o_orderkey * 2 raw_value, 'itviec' source from orders)
     select dimension, raw_value, source, case when e.here is null then l.run_id else 'run1' end run_id,
       case when e.here is null then frequency when l.run_id is null then 1 else frequency + 1 end frequency,
       coalesce(first_seen_at, {TS}) first_seen_at, case when e.here is null then last_seen_at else {TS} end last_seen_at,
@@ -590,12 +619,6 @@ def _broken(s, d):
     })
 
 
-register(
-    "parse_and_load_batch",
-    lambda s, d: loader.parse_and_load_batch(payload(s, d), payload(s, d)),
-    tb.sql("""select count(*) parsed, count(*) filter (where reject_reason is null) as valid, count(reject_reason) rejected,
-      count(*) filter (where reject_reason is null) loaded from checked""", "checked"),
-)
 register(
     "load_dry_run",
     lambda s, d: validate.outcome_counters(validate.with_outcome(payload(s, d), validate=False)).unionByName(
@@ -676,39 +699,65 @@ register(
 )
 
 
+RUN_WITHOUT = ["data scientist", "backend", "-", "marketing"]  # the rule each run lacks
+
+
 def _normalize(s, d):
-    """Results of a run over the newest loads, with its drift rows, as one summary."""
-    results, drift = normalize.normalize_run(
-        tb.postings(s, d), [r for r in SORTED_RULES if r.pattern != "data scientist"], "run7", tb.as_of(),
-        since=F.lit("2000-01-01").cast("timestamp"),
-    )
-    a = results.groupBy("run_id", "category_method", "job_category").agg(F.count("*").alias("n")).withColumn("part", F.lit("result"))
-    b = drift.groupBy(F.col("raw_value").alias("job_category")).agg(F.count("*").alias("n")).select(
-        F.lit("run7").alias("run_id"), F.lit("default").alias("category_method"), "job_category", "n", F.lit("drift").alias("part")
-    )
-    return a.unionByName(b)
+    """Four stored runs over all postings with changing rules, the last one repeated: results, drift log, runs and counters as they are read back."""
+    store = RunStore(s, work_dir(s, "normalization"))
+    jobs = tb.postings(s, d)
+    store.import_drift(jobs.filter("title is not null and source = 'itviec'").selectExpr(
+        "'run0' as run_id", "'category' as dimension", "left(title, 200) as raw_value", "source", "1 as frequency",
+        "timestamp '2001-06-01 00:00:00' as first_seen_at", "timestamp '2001-06-01 00:00:00' as last_seen_at", "'resolved' as status",
+    ).distinct())
+    said = []
+    for i in (1, 2, 3, 4, 4):
+        rules_of_run = [r for r in SORTED_RULES if r.pattern != RUN_WITHOUT[i - 1]]
+        counters = store.normalize(jobs, rules_of_run, f"run{i}", RUN_DAYS[i - 1], since=F.lit("1995-01-01").cast("timestamp"), keep=3)
+        said.append((f"run{i}", *counters.values()))
+    results = store.generations().groupBy("run_id", "run_at", "category_method", "job_category").agg(F.count("*").alias("n")).selectExpr(
+        "'result' as part", "run_id", "run_at as moment", "category_method as a", "job_category as b", "n", "0L as more")
+    drift = store.drift().selectExpr("'drift' as part", "run_id", "last_seen_at as moment", "raw_value as a", "source || ' ' || status as b", "cast(frequency as bigint) as n", "unix_seconds(first_seen_at) as more")
+    kept = s.createDataFrame([("run", r["run_id"], r["rows"]) for r in store.runs()], "part string, run_id string, n long").selectExpr(
+        "part", "run_id", "cast(null as timestamp) as moment", "cast(null as string) as a", "cast(null as string) as b", "n", "0L as more")
+    counted = s.createDataFrame(said, "run_id string, normalized long, drift long, pruned long").selectExpr(
+        "'counter' as part", "run_id", "cast(null as timestamp) as moment", "cast(null as string) as a", "cast(pruned as string) as b", "normalized as n", "drift as more")
+    return results.unionByName(drift).unionByName(kept).unionByName(counted)
 
 
 register(
     "normalize_run", _normalize,
-    tb.sql("""with c as (select title, loaded_at, coalesce(hit.category, 'Other') cat, case when hit.category is null then 'default' else 'title_keyword' end m
-      from postings p left join lateral (select category from class_rules r where pattern <> 'data scientist' and regexp_matches(lower(coalesce(p.title, '')), r.rx) order by pos limit 1) hit on true
-      where loaded_at >= timestamp '2000-01-01')
-    select 'run7' run_id, m category_method, cat job_category, count(*) n, 'result' part from c group by all
-    union all select 'run7', 'default', left(coalesce(title, ''), 200), count(*), 'drift' from c where m = 'default' group by all""", "postings", "class_rules"),
+    tb.sql("""with runs as (select r, 'run' || r run_id, timestamp '2001-06-20 00:00:00' + r * interval 1 day run_at, lacks from ("""
+           + tb.values([(i + 1, w) for i, w in enumerate(RUN_WITHOUT)], "r, lacks") + """)),
+    c as (select r, run_id, run_at, p.source, left(coalesce(title, ''), 200) value,
+        case when fn is not null then fn else coalesce((select category from class_rules k where k.pattern <> lacks and regexp_matches(lower(coalesce(title, '')), k.rx) order by pos limit 1), 'Other') end cat,
+        case when fn is not null then 'source_metadata' when exists (select 1 from class_rules k where k.pattern <> lacks and regexp_matches(lower(coalesce(title, '')), k.rx)) then 'title_keyword' else 'default' end m
+      from runs, (select *, case when source = 'vietnamworks' then case json_extract_string(case when starts_with(job_function, '{') then job_function end, '$.children[0].name') """
+           + " ".join(f"when '{k}' then '{v}'" for k, v in seeds.as_dict(seeds.FUNCTION_CATEGORIES).items()) + """ end end fn from postings) p
+      where loaded_at >= timestamp '1995-01-01'),
+    found as (select value, source, count(distinct r) n, max(r) newest, min(run_at) earliest, max(run_at) latest from c where m = 'default' group by all),
+    old as (select distinct left(title, 200) value, source from postings where title is not null and source = 'itviec')
+    select 'result' part, run_id, run_at moment, m a, cat b, count(*) n, 0::bigint more from c where r > 1 group by all
+    union all select 'drift', case when f.n is null then 'run0' else 'run' || newest end, coalesce(latest, timestamp '2001-06-01'), value, source || ' ' ||
+        case when o.here is null then 'new' when f.n is null then 'resolved' else 'regression' end, coalesce(f.n, 0) + case when o.here then 1 else 0 end,
+        cast(epoch(case when o.here then timestamp '2001-06-01' else earliest end) as bigint)
+      from found f full join (select *, true here from old) o using (value, source)
+    union all select 'run', run_id, null, null, null, count(*), 0 from c where r > 1 group by all
+    union all select 'counter', run_id, null, null, cast(case when r = 4 then (select count(*) from c where r = 1) else 0 end as varchar), count(*), count(*) filter (where m = 'default') from c group by r, run_id
+    union all select 'counter', run_id, null, null, '0', count(*), count(*) filter (where m = 'default') from c where r = 4 group by r, run_id""", "postings", "class_rules"),
 )
 register(
     "unprocessed_jobs",
-    lambda s, d: skills.unprocessed_batch(tb.postings(s, d), tb.skill_log(s, d), 100),
+    lambda s, d: skills.unprocessed_batch(tb.postings(s, d), tb.half_done_log(s, d), 100),
     tb.sql("""select source, source_job_id, job_description_text, job_requirement_text from postings p where (trim(job_description_text) <> '' or trim(job_requirement_text) <> '')
-      and not exists (select 1 from skill_log l where l.source = p.source and l.source_job_id = p.source_job_id)
-    order by parsed_at desc nulls last, source, source_job_id limit 100""", "postings", "skill_log"),
+      and not exists (select 1 from half_done_log l where l.source = p.source and l.source_job_id = p.source_job_id)
+    order by parsed_at desc nulls last, source, source_job_id limit 100""", "postings", "half_done_log"),
 )
 register(
     "count_unprocessed",
-    lambda s, d: skills.count_unprocessed(tb.postings(s, d), tb.skill_log(s, d)),
+    lambda s, d: skills.count_unprocessed(tb.postings(s, d), tb.half_done_log(s, d)),
     tb.sql("""select count(*) n from postings p where (trim(job_description_text) <> '' or trim(job_requirement_text) <> '')
-      and not exists (select 1 from skill_log l where l.source = p.source and l.source_job_id = p.source_job_id)""", "postings", "skill_log"),
+      and not exists (select 1 from half_done_log l where l.source = p.source and l.source_job_id = p.source_job_id)""", "postings", "half_done_log"),
 )
 
 TAXONOMY = [

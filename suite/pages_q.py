@@ -8,7 +8,10 @@ from suite import testbed as tb
 from suite.registry import register
 from vacancia.functions.text import html_to_text, keyword_slug
 from vacancia.operators import extract, frontier as fr, listing
-from vacancia.plans import reports
+from vacancia.operators.frontier_store import FrontierStore
+from vacancia.plans import loader, reports
+from vacancia.schemas import JOB_TABLE, KEY
+from vacancia.session import work_dir
 
 P = "page_id"
 LD = "<script type=\"application/ld+json\">"
@@ -76,8 +79,13 @@ COMMON = ["source", "source_job_id", "source_url", "title", "company_name", "com
           "benefits", "job_description_text", "posted_at", "expired_at", "is_expired", "is_active", "working_from_hour", "working_to_hour"]
 
 
-def _shown(df):
-    return df.filter("not failed").select(*COMMON)
+def _shown(df, columns=COMMON):
+    """Records, and a row that only says so for each page that gave none."""
+    return df.select(*[F.when(~F.col("failed"), F.col(c)).alias(c) for c in columns], "failed")
+
+
+def _with_failed(sql, failed):
+    return f"select *, false failed from ({sql}) union all by name select true failed from pages where {failed}"
 
 
 _BODY = f"'Line ' || {P} || ' & more' || chr(10) || '- one' || chr(10) || '- two'"
@@ -91,19 +99,19 @@ _LD_SHARED = f"""'Engineer ' || {P} title, 'Co ' || {P} % 7 company_name, 'https
 
 register(
     "jobposting_itviec", lambda s, d: _shown(extract.jobposting_itviec(pages_with(_ITVIEC)(s, d), as_of())),
-    f"""select 'itviec' source, cast({P} as varchar) source_job_id, 'https://itviec.com/x/' || {P} source_url,
+    _with_failed(f"""select 'itviec' source, cast({P} as varchar) source_job_id, 'https://itviec.com/x/' || {P} source_url,
       case {P} % 4 when 0 then 'Negotiable' when 1 then ' 1k - 2k ' end pretty_salary,
-      '[{{"city":"Hanoi","city_vi":"Hanoi","address":"1 Main St"}}]' locations, {_LD_SHARED} from pages where {P} % 10 <> 9 and {P} % 5 <> 0""",
+      '[{{"city":"Hanoi","city_vi":"Hanoi","address":"1 Main St"}}]' locations, {_LD_SHARED} from pages where {P} % 10 <> 9 and {P} % 5 <> 0""", f"{P} % 10 = 9 or {P} % 5 = 0"),
 )
 register(
     "jobposting_topcv", lambda s, d: _shown(extract.jobposting_topcv(pages_with(_TOPCV)(s, d), as_of())),
-    f"""select 'topcv' source, cast({P} as varchar) source_job_id, 'https://www.topcv.vn/viec-lam/job/' || {P} || '.html' source_url,
+    _with_failed(f"""select 'topcv' source, cast({P} as varchar) source_job_id, 'https://www.topcv.vn/viec-lam/job/' || {P} || '.html' source_url,
       case when {P} % 4 = 1 then '1k - 2k' end pretty_salary,
-      '[{{"city":"Hanoi","city_vi":"Hanoi","district":"Cau Giay","address":"1 Main St"}}]' locations, {_LD_SHARED} from pages where {P} % 10 <> 9""",
+      '[{{"city":"Hanoi","city_vi":"Hanoi","district":"Cau Giay","address":"1 Main St"}}]' locations, {_LD_SHARED} from pages where {P} % 10 <> 9""", f"{P} % 10 = 9"),
 )
 register(
     "jobposting_careerviet", lambda s, d: _shown(extract.jobposting_careerviet(pages_with(_CAREER)(s, d), as_of())),
-    f"""select 'careerviet' source, '35C' || {P} source_job_id, 'https://careerviet.vn/' || {P} source_url, 'Engineer ' || {P} title, 'Co ' || {P} % 7 company_name,
+    _with_failed(f"""select 'careerviet' source, '35C' || {P} source_job_id, 'https://careerviet.vn/' || {P} source_url, 'Engineer ' || {P} title, 'Co ' || {P} % 7 company_name,
       'https://l.example.com/' || {P} || '.png' company_logo_url,
       case {P} % 4 when 1 then 10000000.0 + {P} % 1000 when 2 then 500.0 + {P} end::double salary_min, case {P} % 4 when 1 then 20000000.0 when 2 then 500.0 + {P} end::double salary_max,
       case when {P} % 4 < 2 then 'VND' end salary_currency, {P} % 4 in (1, 2) is_salary_visible, case when {P} % 4 = 0 then 'Canh tranh' end pretty_salary,
@@ -111,7 +119,7 @@ register(
       '[{{"city":"Ho Chi Minh","district":"Quan 7","address":"12 A","country":"VN"}}]' locations, '[]' skills, '[{{"name":"IT"}},{{"name":"Data"}}]' industries,
       '[{{"name":"Laptop"}}]' benefits, '<p>Line ' || {P} || ' &amp; <b>more</b></p><ul><li>one</li><li>two</li></ul>' job_description_text, '2024-01-02' posted_at,
       case when {P} % 3 = 0 then '2024-03-01T00:00:00Z' else '2024-01-15' end expired_at, false is_expired, null::boolean is_active, '8:00' working_from_hour, '17:00' working_to_hour
-    from pages where {P} % 10 <> 9""",
+    from pages where {P} % 10 <> 9""", f"{P} % 10 = 9"),
 )
 register(
     "jsonld_parse_counters",
@@ -139,12 +147,12 @@ _LI_COLS = ["source", "source_job_id", "source_url", "title", "company_name", "c
 def _linkedin(s, d):
     tb.pin_utc(s)
     pages = tb.read(s, d, "pages").selectExpr(f"cast({P} as string) as key", f"{_LI} as html")
-    return extract.jobposting_linkedin(pages, as_of()).filter("not failed").select(*_LI_COLS)
+    return _shown(extract.jobposting_linkedin(pages, as_of()), _LI_COLS)
 
 
 register(
     "jobposting_linkedin", _linkedin,
-    f"""select 'linkedin' source, cast({P} as varchar) source_job_id, 'https://www.linkedin.com/jobs/view/' || {P} source_url, 'Engineer ' || {P} title,
+    _with_failed(f"""select 'linkedin' source, cast({P} as varchar) source_job_id, 'https://www.linkedin.com/jobs/view/' || {P} source_url, 'Engineer ' || {P} title,
       'Co ' || {P} % 7 company_name, 'https://l.example.com/' || {P} || '.png' company_logo_url,
       case {P} % 5 when 0 then 1000000.0 when 1 then 1000000.0 when 2 then 50.0 when 3 then 90000.0 end::double salary_min,
       case {P} % 5 when 0 then 3000000.0 when 1 then 3000000.0 when 2 then 80.0 when 3 then 90000.0 end::double salary_max,
@@ -153,14 +161,14 @@ register(
       'Engineering' job_function, '[{{"name":"IT Services"}}]' industries, '[{{"city":"Hanoi, Vietnam"}}]' locations, 'Line ' || {P} || ' & more' job_description_text,
       nullif({_LI_PAY}, '') pretty_salary, cast(1000 + {P} % 1000 as int) num_of_applications,
       strftime(timestamp '{tb.AS_OF_EVENTS}' - ({P} % 9) * case {P} % 5 when 0 then interval 1 day when 1 then interval 7 day when 2 then interval 30 day when 3 then interval 1 hour else interval 0 day end, '%Y-%m-%dT%H:%M:%SZ') posted_at,
-      true is_active from pages where {P} % 10 <> 9""",
+      true is_active from pages where {P} % 10 <> 9""", f"{P} % 10 = 9"),
 )
 
 # ------------------------------------------------------------------ pushed chunks and decoded objects
 
 _RSC = (
     f"html || '<script>self.__next_f.push([1,\"{{\\\\\"jobTitle\\\\\":\\\\\"Dev \\\\u00e9 ' || {P} || '\\\\\",\\\\\"salaryMin\\\\\":' || ({P} * 10) || ',\\\\\"isX\\\\\":true\"])</script>"
-    f"<script>self.__next_f.push([1,\"\\\\\"companyName\\\\\":\\\\\"Co ' || {P} % 7 || '\\\\\",\\\\\"jobLevel\\\\\":null,\\\\\"numOfViews\\\\\":' || ({P} % 50) || ',\\\\\"salaryMax\\\\\":99.5,\\\\\"expiredOn\\\\\":\\\\\"2024-02-0' || ({P} % 9 + 1) || '\\\\\"}}\"])</script>'"
+    f"<script>self.__next_f.push([1,\"\\\\\"companyName\\\\\":\\\\\"Co ' || {P} % 7 || '\\\\\",\\\\\"jobLevel\\\\\":' || case {P} % 4 when 0 then 'null' else '\\\\\"L' || {P} % 4 || '\\\\\"' end || ',\\\\\"numOfViews\\\\\":' || ({P} % 50) || ',\\\\\"salaryMax\\\\\":99.5,\\\\\"expiredOn\\\\\":\\\\\"2024-02-0' || ({P} % 9 + 1) || '\\\\\"}}\"])</script>'"
 )
 
 
@@ -169,13 +177,15 @@ def _rsc_rows(s, d):
     return extract.rsc_scalar_fields(pages)
 
 
-tb.cte("rsc", [], f"""select cast({P} as varchar) job_id, 'Dev é ' || {P} title, 'Co ' || {P} % 7 company, null::varchar as level, ({P} * 10)::double salary_min,
+tb.cte("rsc", [], f"""select cast({P} as varchar) job_id, 'Dev é ' || {P} title, 'Co ' || {P} % 7 company, case when {P} % 4 > 0 then 'L' || {P} % 4 end as level, ({P} * 10)::double salary_min,
   99.5::double salary_max, '2024-02-0' || ({P} % 9 + 1) expires, ({P} % 50)::bigint as views, null::bigint applications from pages""")
 register("rsc_scalar_fields", _rsc_rows, tb.sql("select * from rsc", "rsc"))
 register("profile_crawled", lambda s, d: reports.profile_summary(_rsc_rows(s, d)),
          tb.sql("select count(*) total, count(title) titles, count(company) companies, count(*) filter (where salary_min <> 0) salary_visible, count(views) views_present, count(distinct company) unique_companies from rsc", "rsc"))
 register("profile_top_companies", lambda s, d: reports.value_counts(_rsc_rows(s, d), "company", 5),
          tb.sql("select company, count(*) n from rsc group by 1 order by n desc, company limit 5", "rsc"))
+register("profile_levels", lambda s, d: reports.value_counts(_rsc_rows(s, d), "level", 10),
+         tb.sql("select level, count(*) n from rsc where level is not null group by 1 order by n desc, level limit 10", "rsc"))
 register("profile_most_viewed", lambda s, d: reports.most_viewed(_rsc_rows(s, d), 5),
          tb.sql("select job_id, title, views, coalesce(applications, 0) applications from rsc where views > 0 order by views desc, job_id limit 5", "rsc"))
 
@@ -201,6 +211,44 @@ register(
       '[{"id":1,"name":"SQL","weight":100}]' skills, '[{"type":"bonus","value":"13th","id":2}]' benefits, 'D & D' job_description_text, '2024-01-02' posted_at,
       false is_expired, cast(o_custkey as int) num_of_views, true required_resume, true is_active, '[]' services from orders""",
 )
+
+
+def _pages_twice(s, d, block):
+    """Pages of a board, every fourth one again with another title."""
+    first = tb.read(s, d, "pages").selectExpr(f"cast({P} as string) as key", f"{block} as html", "1 as arrival", P)
+    return first.unionByName(first.filter(f"{P} % 4 = 0").withColumns({"html": F.expr("replace(html, 'Engineer ', 'Engineer v2 ')"), "arrival": F.lit(2)})).drop(P)
+
+
+def _parse_and_load(s, d):
+    """Pages of all boards in, the table read back with the counters beside it."""
+    tb.pin_utc(s)
+    boards = {
+        "itviec": _pages_twice(s, d, f"replace({_page(_ITVIEC)}, '\"name\":\"Co 3\"', '\"name\":\"\"')"), "topcv": _pages_twice(s, d, _page(_TOPCV)),
+        "careerviet": _pages_twice(s, d, _page(_CAREER)), "linkedin": _pages_twice(s, d, _LI),
+        "vietnamworks": tb.read(s, d, "orders").selectExpr(
+            "cast(o_orderkey as string) as key", "1 as arrival",
+            f"replace({_MAIN}, '\"companyName\":\"Co\"', case when o_orderkey % 7 = 0 then '\"companyName\":\"\"' else '\"companyName\":\"Co\"' end) as main_json"),
+    }
+    target = work_dir(s, "parse-and-load")
+    counters = loader.parse_and_load_batch(s, boards, target, as_of(), 4)
+    return s.read.schema(JOB_TABLE).parquet(target).select(
+        *KEY, "title", "company_name", "is_salary_visible", "loaded_at", *[F.lit(v).cast("bigint").alias(k) for k, v in counters.items()]
+    )
+
+
+_ARRIVALS = f"(select *, unnest(case when {P} % 4 = 0 then [1, 2] else [1] end) arrival from pages where {P} % 10 <> 9)"
+_TITLE = f"case arrival when 1 then 'Engineer ' else 'Engineer v2 ' end || {P}"
+tb.cte("paged", [], f"""select 'itviec' source, cast({P} as varchar) source_job_id, {_TITLE} title, case when {P} % 7 = 3 then '' else 'Co ' || {P} % 7 end company_name, {P} % 4 = 1 visible, arrival from {_ARRIVALS} where {P} % 5 <> 0
+  union all select 'topcv', cast({P} as varchar), {_TITLE}, 'Co ' || {P} % 7, {P} % 4 = 1, arrival from {_ARRIVALS}
+  union all select 'careerviet', '35C' || {P}, {_TITLE}, 'Co ' || {P} % 7, {P} % 4 in (1, 2), arrival from {_ARRIVALS}
+  union all select 'linkedin', cast({P} as varchar), {_TITLE}, 'Co ' || {P} % 7, {P} % 5 < 4, arrival from {_ARRIVALS}
+  union all select 'vietnamworks', cast(o_orderkey as varchar), 'Dev ' || o_custkey, case when o_orderkey % 7 = 0 then '' else 'Co' end, o_orderkey % 3 <> 0, 1 from orders""")
+register(
+    "parse_and_load_batch", _parse_and_load,
+    tb.sql(f"""select source, source_job_id, arg_max(title, arrival) title, any_value(company_name) company_name, any_value(visible) is_salary_visible, timestamp '{tb.AS_OF_EVENTS}' loaded_at,
+      (select count(*) from paged) parsed, (select count(*) from paged where company_name <> '') as valid, (select count(*) from paged where company_name = '') rejected,
+      (select count(*) from (select distinct source, source_job_id from paged where company_name <> '')) loaded from paged where company_name <> '' group by source, source_job_id""", "paged"),
+)
 register(
     "post_to_record",
     lambda s, d: extract.post_to_record(
@@ -270,8 +318,65 @@ def _listed(s, d):
 
 
 register("detail_url_build", lambda s, d: _listed(s, d), tb.sql("select * from listed", "listed"))
-register("seed_from_listings", lambda s, d: listing.seed_counters(_listed(s, d)),
-         tb.sql("select count(distinct job_id) filter (where route = 'enqueue') enqueued, count(*) filter (where route = 'skipped') skipped, count(*) filter (where route = 'rejected_url') rejected_url from listed", "listed"))
+
+
+def _listings(s, d, alias):
+    """Listing responses as JSON lines, two records each: an order's own and one more with another link."""
+    path = work_dir(s, "listings")
+    tb.read(s, d, "orders").selectExpr(
+        f"array(named_struct('jobId', {_JID}, 'alias', {alias}), named_struct('jobId', 'x' || o_custkey % 50, 'alias', 'bad slug')) as data",
+        "named_struct('nbPages', 9) as meta",
+    ).coalesce(1).write.json(path)
+    return path
+
+
+def _seeded(s, d):
+    """The frontier after a listing was read twice, with the counters of each time."""
+    store = FrontierStore(s, work_dir(s, "seeded"), 4)
+    path = _listings(s, d, _ALIAS)
+    first, again = (store.seed_from_listings(path, as_of(), one_per_object=False) for _ in range(2))
+    return store.rows().select("source", "job_id", "url", "status", "first_seen_at", "retry_count", *[
+        F.lit(v).cast("bigint").alias(k) for k, v in first.items()], F.lit(first == again).alias("same_again"))
+
+
+register(
+    "seed_from_listings", _seeded,
+    tb.sql(f"""select 'vietnamworks' source, job_id, url, 'pending' status, timestamp '{tb.AS_OF_EVENTS}' first_seen_at, 0 retry_count, 1::bigint scanned_files,
+      (select count(distinct job_id) from listed where route = 'enqueue') enqueued, (select count(*) from listed where route = 'skipped') skipped,
+      (select count(*) from listed where route = 'rejected_url') + (select count(*) from orders) rejected_url, true same_again from listed where route = 'enqueue'""", "listed"),
+)
+
+
+def _cycle(s, d):
+    """Listing, claim, outcomes, the next listing and claim on one stored frontier; the claims are repeated as after a crash."""
+    store = FrontierStore(s, work_dir(s, "cycle"), 4)
+    later = F.lit("2024-02-02 00:00:00").cast("timestamp")
+    store.seed_from_listings(_listings(s, d, _ALIAS), as_of(), one_per_object=False)
+    claimed = store.claim(500, as_of(), "c1")
+    store.claim(500, as_of(), "c1")
+    outcomes = claimed.selectExpr(
+        "source", "job_id", "case cast(job_id as bigint) % 3 when 0 then 'success' when 1 then 'failed' else 'expired' end as outcome", "200 as http_status",
+        "'error ' || job_id as error", "'raw/' || job_id as raw_object_key", "'run1' as run_id")
+    done = work_dir(s, "outcomes")
+    outcomes.write.parquet(done)
+    for _ in range(2):
+        store.finish(s.read.parquet(done), as_of())
+    store.claim(500, later, "c1")
+    store.seed_from_listings(_listings(s, d, f"case when {_ALIAS} like 'dev-%' then 'new-' || o_custkey else {_ALIAS} end"), later, one_per_object=False)
+    for _ in range(2):
+        store.claim(200, later, "c2")
+    return store.rows().select("job_id", "url", "status", "retry_count", "claim_token", "first_seen_at", "last_attempt_at", "crawled_at", "http_status", "error_message", "raw_object_key")
+
+
+register(
+    "frontier_stored_cycle", _cycle,
+    tb.sql(f"""with q as (select job_id, case when url like '%/dev-ops-%' then url else replace(url, '/dev-', '/new-') end url, cast(job_id as bigint) % 3 o, row_number() over (order by job_id) <= 500 c1 from listed where route = 'enqueue'),
+    w as (select *, not (c1 and o = 0) and row_number() over (partition by c1 and o = 0 order by job_id) <= 200 c2 from q)
+    select job_id, url, case when c1 and o = 0 then 'success' when c2 then 'in_progress' else 'pending' end status, (case when c1 then 1 else 0 end) + (case when c2 then 1 else 0 end) retry_count,
+      case when c2 then 'c2' when c1 then 'c1' end claim_token, timestamp '{tb.AS_OF_EVENTS}' first_seen_at,
+      case when c2 then timestamp '2024-02-02' when c1 then timestamp '{tb.AS_OF_EVENTS}' end last_attempt_at, case when c1 and o in (0, 2) then timestamp '{tb.AS_OF_EVENTS}' end crawled_at,
+      case when c1 and o = 2 then 404 when c1 then 200 end http_status, case when c1 and o = 1 then 'error ' || job_id end error_message, case when c1 and o = 0 then 'raw/' || job_id end raw_object_key from w""", "listed"),
+)
 
 _URLS = {
     "careerviet": ("'https://careerviet.vn/vi/tim-viec-lam/dev.' || case when event_id % 7 = 0 then 'zz' else '35c8' || lpad(cast(event_id % 500 as string), 4, '0') end || '.html'",

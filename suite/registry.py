@@ -24,5 +24,5 @@ def load() -> None:
     """Import every query module once."""
     import importlib
 
-    for module in ("models_q", "ops_q", "pages_q", "reports_q"):
+    for module in ("models_q", "ops_q", "pages_q", "reports_q", "match_q"):
         importlib.import_module(f"suite.{module}")

@@ -212,20 +212,20 @@ def test_match_brute_force(spark, as_of):
     subs = [(i, i % 4, maybe(["Python", "go"]), maybe(["c1"]), maybe(["A", "B"]), maybe(levels), rng.choice([None, 1_000_000, 4_999_999, 6_000_000]), None) for i in range(40)]
     subs.append((99, 1, None, None, None, None, None, dt.datetime(2030, 1, 1)))
     log = [(0, "1"), (1, "2")]
-    job_df = spark.createDataFrame(jobs_, "source string, source_job_id string, company_name string, city_canonical string, job_level string, salary_vnd_monthly_avg double")
-    got = alerts.alert_match(
-        spark.createDataFrame(subs, "subscription_id int, chat_id int, skills array<string>, companies array<string>, cities array<string>, job_levels array<string>, min_salary_vnd bigint, paused_until timestamp"),
-        job_df, spark.createDataFrame(skill, "source string, source_job_id string, skill_name_norm string"),
-        spark.createDataFrame(log, "subscription_id int, source_job_id string"), as_of(),
-    )
+    tagged = [(*j, [t for s, i, t in skill if (s, i) == j[:2]] or None) for j in jobs_]
+    job_df = spark.createDataFrame(tagged, "source string, source_job_id string, company_name string, city_canonical string, job_level string, salary_vnd_monthly_avg double, tags array<string>")
+    subs_df = spark.createDataFrame(subs, "subscription_id int, chat_id int, skills array<string>, companies array<string>, cities array<string>, job_levels array<string>, min_salary_vnd bigint, paused_until timestamp")
+    log_df = spark.createDataFrame(log, "subscription_id int, source_job_id string")
+    found = [alerts.alert_match(subs_df, job_df, log_df, as_of(), n) for n in (alerts.PAIRS, 20)]
     want = {
         (u[0], j[1]) for u in subs for j in jobs_
         if u[7] is None and (u[0], j[1]) not in log
         and (u[2] is None or any((j[0], j[1], t.lower()) in skill for t in u[2])) and (u[3] is None or j[2] in u[3])
         and (u[4] is None or j[3] in u[4]) and (u[5] is None or j[4] in u[5]) and (u[6] is None or (j[5] is not None and j[5] >= u[6]))
     }
-    rows = [(r.subscription_id, r.source_job_id) for r in got.collect()]
-    assert len(rows) == len(set(rows)) and set(rows) == want
+    for got in found:
+        rows = [(r.subscription_id, r.source_job_id) for r in got.collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == want
 
 
 def test_taxonomy_terms_with_symbols(spark):
