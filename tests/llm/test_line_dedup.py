@@ -5,6 +5,7 @@ from hashlib import sha256
 import numpy as np
 from test_llm_operators import SF, docs, empty, key, rows, same  # noqa: F401
 
+import check
 from vacancia.llm import line_dedup, queries
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -76,3 +77,9 @@ def test_perfect_hash():
         assert (holders == np.minimum(counts, 2**32 - 1)).all() and (ids == last).all()
         foreign = random.integers(-(2**63), 2**63, (5000, 2))
         assert not shard.probe(foreign)[0].any()
+
+
+def test_sql_gives_the_same(spark):
+    df = queries.op13_line_dedup(spark, SF)
+    cur = check.duck(SF).execute(queries.ORACLES["op13_line_dedup"])
+    assert check.table([tuple(r) for r in df.collect()], df.columns) == check.table(cur.fetchall(), [c[0] for c in cur.description])

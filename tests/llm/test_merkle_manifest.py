@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_llm_operators import SF, docs, empty, key  # noqa: F401
 
+import check
 from vacancia.llm import merkle_manifest, queries
 
 
@@ -83,3 +84,9 @@ def test_languages_of_many_rows(spark):
     docs = spark.createDataFrame([(1000 * i + k, "t", f"l{i:02}", "s", 1) for i, n in enumerate(sizes) for k in range(n)], "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
     got = merkle_manifest.proofs(merkle_manifest.build(docs, step=2), spark).select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256), "folded_root", "verified")
     assert found(got.collect()) == found(slow_manifest(docs.collect(), lambda r: 0))
+
+
+def test_sql_gives_the_same(spark):
+    df = queries.op12_merkle_manifest(spark, SF)
+    cur = check.duck(SF).execute(queries.ORACLES["op12_merkle_manifest"])
+    assert check.table([tuple(r) for r in df.collect()], df.columns) == check.table(cur.fetchall(), [c[0] for c in cur.description])

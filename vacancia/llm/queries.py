@@ -96,6 +96,18 @@ QUERIES = {
 }
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
+_BLANK = "[\\x20\\x09-\\x0D]"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _field(value: str) -> str:
+    return f"case when {value} is null then '-' else octet_length(encode(cast({value} as varchar))) || ':' || {value} end"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
 ORACLES = {
     # Each measurement is derived from word and line lists; windows are compared as joined text.
     "op10_quality_rules": rf"""
@@ -129,5 +141,66 @@ b as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 + r1 > 0 as base_failed, r0 + r1 + r2 + r3 + r6 = 0 as kept,
   cast(r0 + 2 * r1 + 4 * r2 + 8 * r3 + 16 * r4 + 32 * r5 + 64 * r6 + 128 * r7 as bigint) as failed_bits
 from b
+""",
+    # crc holds the id's CRC-32, digit by digit; up and top grow the trees level by level; steps are the proofs, folded from below.
+    "op12_merkle_manifest": f"""
+with recursive d as (select row_number() over () as row, * from documents),
+bits as (
+  select unnest(range(256)) as byte, 0 as k, unnest(range(256)) as v
+  union all select byte, k + 1, case when v % 2 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8
+),
+crc as (
+  select row, cast(doc_id as varchar) as rest, 4294967295::bigint as c from d
+  union all select row, substr(rest, 2), xor(c >> 8, v) from crc join bits on k = 8 and byte = xor(c & 255, ascii(rest)) where rest <> ''
+),
+leaves as (
+  select row, doc_id, coalesce('=' || lang, '') as tree, {_leaf('n_chars')} as leaf, case when xor(c, 4294967295) % 7 = 0 then {_leaf('(n_chars + 1)')} else {_leaf('n_chars')} end as claim
+  from d join (select row, c from crc where coalesce(rest, '') = '') using (row)
+),
+placed as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by tree) as n from leaves
+),
+up as (
+  select tree, 0 as level, idx, leaf as node, n from placed
+  union all select tree, level + 1, idx // 2, sha256(string_agg(node, '' order by idx)), (max(n) + 1) // 2 from up where n > 1 group by tree, level, idx // 2
+),
+subroots as (
+  select tree, node as subroot, level as height, row_number() over (order by tree) - 1 as top_idx, count(*) over () as tops from up where n = 1
+),
+top as (
+  select 0 as level, top_idx as idx, subroot as node, tops as n from subroots
+  union all select level + 1, idx // 2, sha256(string_agg(node, '' order by idx)), (max(n) + 1) // 2 from top where n > 1 group by level, idx // 2
+),
+lower_steps as (
+  select row, s.level as step, (s.idx >> s.level) % 2 as turn, u.node as sibling
+  from (select row, tree, idx, unnest(range(height)) as level from placed join subroots using (tree)) s
+  left join up u on u.tree = s.tree and u.level = s.level and u.idx = xor(s.idx >> s.level, 1)
+),
+upper_steps as (
+  select row, height + s.level as step, (s.top_idx >> s.level) % 2 as turn, t.node as sibling
+  from (select row, height, top_idx, unnest(range((select max(level) from top))) as level from placed join subroots using (tree)) s
+  left join top t on t.level = s.level and t.idx = xor(s.top_idx >> s.level, 1)
+),
+steps as (select * from lower_steps union all select * from upper_steps),
+folded as (
+  select row, 0 as step, claim as x from placed
+  union all
+  select f.row, f.step + 1, case when s.sibling is null then sha256(f.x) when s.turn = 1 then sha256(s.sibling || f.x) else sha256(f.x || s.sibling) end
+  from folded f join steps s on s.row = f.row and s.step = f.step
+)
+select doc_id, leaf, subroot, node as root, sha256(coalesce(siblings, '')) as proof_sha256, x as folded_root, x = node as verified
+from placed join subroots using (tree) join (select node from top where n = 1) on true
+  left join (select row, string_agg(sibling, '' order by step) as siblings from steps group by row) using (row)
+  join (select row, arg_max(x, step) as x from folded group by row) using (row)
+""",
+    "op13_line_dedup": f"""
+with t as (select row_number() over () as row, doc_id, coalesce(text, '') as text from documents),
+l as (select row, doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as i from t),
+k as (select *, translate(regexp_replace(line, '^{_BLANK}+|{_BLANK}+$', '', 'g'), '{_UPPER}', '{_UPPER.lower()}') as key from l),
+h as (select key, count(distinct row) as n, max(doc_id) as last from k where length(key) >= 20 group by key having count(distinct row) >= 3),
+m as (select k.*, h.n, h.n is not null and h.last is distinct from k.doc_id as gone from k left join h using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256, coalesce(max(n) filter (where gone), 0) as n_holders
+from m group by row, doc_id
 """,
 }
