@@ -58,19 +58,20 @@ def _counts(batches):
             for word, n in found.items():
                 for k in range(1, LONGEST + 1):
                     c = seen.setdefault((lang, k), Counter())
-                    for g in grams(word[:64], k):
+                    for g in grams(word, k):
                         c[g] += n
-        if sum(map(len, seen.values())) > 400_000:
-            yield from flush()
+            if sum(map(len, seen.values())) > 400_000:
+                yield from flush()
     yield from flush()
 
 
 def train(labelled: DataFrame, docs_per_lang: int = 2_000, keys_per_table: int = 20_000) -> Model:
     """Model from about ``docs_per_lang`` documents (by a hash of the id) of each language of ``labelled`` (doc_id, text, lang).
 
-    The sample bound is this operator's parameter. For each language the words, and the n-grams of
-    each size, that are frequent enough to number at most ``keys_per_table`` are kept, so the model
-    that reaches the driver has at most (LONGEST + 1) x ``keys_per_table`` rows a language.
+    The sample bound is this operator's parameter, as is the model's size: for each language about
+    ``keys_per_table`` words, and n-grams of each size, stay, the most frequent ones; among those of the
+    least count that still has room, a hash decides. Rows without text or language teach nothing; of no rows
+    the model knows no language.
     """
     ship(labelled.sparkSession)
     rows = labelled.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
@@ -80,22 +81,23 @@ def train(labelled: DataFrame, docs_per_lang: int = 2_000, keys_per_table: int =
     counts = stored(
         sample.mapInArrow(_counts, "lang string, kind int, key string, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "lang-counts"
     )
-    # The least count with at most keys_per_table keys at or above it, from how many keys have each count.
-    at_least: dict[tuple[str, int], int] = {}
+    # For each table the last count with room, and the share of its keys that there is room for.
+    at_least: dict[tuple[str, int], tuple[int, float]] = {}
     totals: dict[tuple[str, int], int] = {}
     held: Counter = Counter()
     levels = counts.groupBy("lang", "kind", "n").agg(F.count(F.lit(1)).alias("keys")).collect()
     for r in sorted(levels, key=lambda r: -r.n):
         table = (r.lang, r.kind)
         totals[table] = totals.get(table, 0) + r.n * r["keys"]
+        if held[table] < keys_per_table:
+            at_least[table] = (r.n, min(1.0, (keys_per_table - held[table]) / r["keys"]))
         held[table] += r["keys"]
-        if held[table] <= keys_per_table:
-            at_least[table] = r.n
     if not totals:
         return Model([], [{} for _ in range(LONGEST + 1)], np.zeros((0, 0), np.float32))
     spark = labelled.sparkSession
-    limits = spark.createDataFrame([(*t, n) for t, n in at_least.items()], "lang string, kind int, least long")
-    kept = counts.join(F.broadcast(limits), ["lang", "kind"]).where("n >= least").groupBy("kind", "key").agg(
+    limits = spark.createDataFrame([(*t, *x) for t, x in at_least.items()], "lang string, kind int, least long, part double")
+    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 40)) < F.col("part") * (1 << 40)
+    kept = counts.join(F.broadcast(limits), ["lang", "kind"]).where((F.col("n") > F.col("least")) | (F.col("n") == F.col("least")) & drawn).groupBy("kind", "key").agg(
         F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")  # one entry a language
     ).collect()
     langs = sorted({lang for lang, _ in totals})
@@ -181,7 +183,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` whose language is determined with a score of ``least`` or more; all columns stay."""
+    """Rows of ``docs`` whose language is determined with a score of ``least`` or more; all columns stay.
+
+    Rows whose text is null or has no letter go, as do all rows if the model knows no language.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def decide():
