@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import ascii_words, batch_of, id_texts, keep_rows, slices
+from vacancia.llm.common import ascii_words, batch_of, id_texts, keep_rows, slices, stored
 from vacancia.llm.simhash import fingerprint, shingle_hashes
 
 WIDTH, SIMILAR, RADIUS = 5, 0.8, 23
 #: Items and bytes of item text in one broadcast; a larger benchmark is searched in several passes.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16_000_000
-OUT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("hamming", pa.int32()), ("start_word", pa.int64())])
+OUT = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("similarity", pa.float64()), ("hamming", pa.int32()), ("start_word", pa.int64())])
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -173,15 +174,22 @@ def find(index: Index, text: str | None) -> list[tuple[int, float, int, int]]:
     return [(item, *best[item]) for item in sorted(best, key=lambda x: (x is None, x))]
 
 
-def indexes(benchmark: DataFrame) -> list[Index]:
-    """Indexes over blocks of the items (item_id, text), each within the block bounds; usually one."""
+def _named(benchmark: DataFrame) -> DataFrame:
+    """key (of the text), item_id, text of the items that have one."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    blocks = max(1, -(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
-    if blocks == 1:
-        return [build([tuple(r) for r in items.collect()])]
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    return [build([tuple(r) for r in items.where(block == b).collect()]) for b in range(blocks)]
+    return items.where("text is not null").select(F.xxhash64("text").alias("key"), "item_id", "text")
+
+
+def indexes(benchmark: DataFrame, block_items: int, block_bytes: int) -> tuple[int, Iterator[Index]]:
+    """How many indexes there are, and one after another, each over a block of the items' distinct texts within the block bounds.
+
+    Items that share a text are in it once, under its key. The driver holds one block.
+    """
+    texts = stored(_named(benchmark).groupBy("key").agg(F.first("text").alias("text")), "benchmark-texts")
+    n, size = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // block_items), -(-size // block_bytes))
+    block = F.pmod(F.xxhash64("key", F.lit("block")), F.lit(blocks))
+    return blocks, (build([tuple(r) for r in (texts.where(block == b) if blocks > 1 else texts).select("key", "text").collect()]) for b in range(blocks))
 
 
 @functools.lru_cache(maxsize=1)
@@ -189,16 +197,18 @@ def _held(broadcast) -> Index:
     return broadcast.value
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, similarity, hamming, start_word: every item that a document leaks, with its best window.
 
-    Map-only over whole texts. A null or blank text leaks nothing; items without a word are never
-    leaked; an item of fewer than WIDTH words is one shingle and needs those words in a row.
-    Repeated rows each give theirs; equal items are all named. Other columns are not read.
+    Map-only over whole texts, once for each block of the benchmark; only what was found joins the
+    items' ids. A null or blank text leaks nothing; items without a word are never leaked; an
+    item of fewer than WIDTH words is one shingle and needs those words in a row. Repeated rows
+    each give theirs; equal items are all named; an empty benchmark gives none. Other columns are not read.
     """
     texts = id_texts(docs)
+    blocks, made = indexes(benchmark, block_items, block_bytes)
     out = None
-    for index in indexes(benchmark):
+    for index in made:
         held = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, held=held):
@@ -207,14 +217,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 rows = [(d, *x) for d, t in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()) for x in find(index, t)]
                 yield batch_of(OUT, *(zip(*rows) if rows else [[]] * len(OUT)))
 
-        found = texts.mapInArrow(run, "doc_id long, item_id long, similarity double, hamming int, start_word long")
+        found = texts.mapInArrow(run, "doc_id long, key long, similarity double, hamming int, start_word long")
+        if blocks > 1:  # the block's rows are written and its index is dropped before the next one is built
+            found = stored(found, "leaks")
+            held.destroy()
         out = found if out is None else out.unionByName(found)
-    return out
+    return out.join(_named(benchmark).select("key", "item_id"), "key").select("doc_id", "item_id", "similarity", "hamming", "start_word")
 
 
-def keep_unleaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that leak no item; all columns stay."""
-    for index in indexes(benchmark):
+def keep_unleaked(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Rows of ``docs`` that leak no item; all columns stay. Rows with a null or blank text stay, and all rows for an empty benchmark."""
+    blocks, made = indexes(benchmark, block_items, block_bytes)
+    for index in made:
         held = docs.sparkSession.sparkContext.broadcast(index)
 
         def decide(held=held):
@@ -222,4 +236,7 @@ def keep_unleaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             return lambda texts: [not find(index, t) for t in texts]
 
         docs = keep_rows(docs, decide)
+        if blocks > 1:
+            docs = stored(docs, "unleaked")
+            held.destroy()
     return docs
