@@ -175,14 +175,3 @@ def near_groups(docs: DataFrame, width: int = 4) -> DataFrame:
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def keep_one_of_each(docs: DataFrame, width: int = 4) -> DataFrame:
-    """One row of each near-duplicate group of ``docs``: one with the group's smallest doc_id; all columns stay.
-
-    Rows without doc_id stay, as nothing names them.
-    """
-    groups = near_groups(docs, width)
-    named = groups.where("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
