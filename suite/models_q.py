@@ -183,3 +183,24 @@ register(
     union all select 'salary', concat_ws('|', job_category, job_level, coalesce(city_canonical, 'Unknown'), coalesce(region, 'Unknown')), '{tb.AS_OF_DAY}', count(*), round_even(quantile_cont(salary_vnd_monthly_avg, 0.5), 0)
       from silver where salary_vnd_monthly_avg is not null group by job_category, job_level, city_canonical, region""", "silver", "skill_unified"),
 )
+
+
+def _part_of_graph(name, *others):
+    """One model of the graph, built with those it needs and read as a reader of the graph does."""
+    def run(s, d):
+        stored = graph.Graph(s, work_dir(s, "graph"), [x for x in graph.warehouse(tb.lookups(s, d)) if x.name in (name, *others)])
+        stored.run({"jobs": graph.Source(tb.jobs(s, d), "once"), "generations": graph.Source(tb.generations(s, d), "once")}, {"as_of": f"timestamp '{tb.AS_OF}'", "day": f"date '{tb.AS_OF_DAY}'"})
+        return stored.frames[name]
+    return run
+
+
+register(
+    "sink_view",
+    lambda s, d: _part_of_graph("stg_job_detail")(s, d).select("source", "source_job_id", "title", "is_expired_calc", "is_active_calc"),
+    tb.sql("select source, source_job_id, title, is_expired_calc, is_active_calc from staged", "staged"),
+)
+register(
+    "sink_table",
+    lambda s, d: _part_of_graph("silver_skill_long", "stg_job_detail", "silver_job_detail")(s, d),
+    tb.sql("select * from skill_long", "skill_long"),
+)

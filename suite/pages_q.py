@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from suite import testbed as tb
 from suite.registry import register
-from vacancia.functions.text import html_to_text, keyword_slug
+from vacancia.functions.text import archive_slug, html_to_text, keyword_slug
 from vacancia.operators import extract, frontier as fr, listing
 from vacancia.operators.frontier_store import FrontierStore
 from vacancia.plans import loader, reports
@@ -275,6 +275,12 @@ register(
     "select p_partkey, trim(regexp_replace(lower(p_name || ' / ' || p_brand || '!'), '[^a-z0-9]+', '-', 'g'), '-') slug from part",
 )
 
+register(
+    "archive_slug",
+    lambda s, d: tb.read(s, d, "part").select("p_partkey", archive_slug(F.expr("case when p_partkey % 9 = 0 then ' ?! ' else ' ' || p_name || ' / Kế ' || p_brand || '!' end")).alias("slug")),
+    """select p_partkey, coalesce(nullif(trim(regexp_replace(lower(case when p_partkey % 9 = 0 then ' ?! ' else ' ' || p_name || ' / Kế ' || p_brand || '!' end), '[^\p{L}\p{N}]', '-', 'g'), '-'), ''), 'kw') slug from part""",
+)
+
 # ------------------------------------------------------------------ listing pages
 
 _LIST = (

@@ -59,6 +59,15 @@ def test_load_job(spark, as_of, tmp_path):
     assert got["1"].title == "new" and got["1"].loaded_at.year == 2024 and set(got) == {"1", "5"}
 
 
+def test_repeated_load_rejects_once(spark, as_of, tmp_path):
+    src, target, rejects = (str(tmp_path / n) for n in ("in", "jobs", "rejects"))
+    put(src, "1.json", record("1"))
+    put(src, "2.json", record("2", title=""))
+    for load in ("monday", "monday", "tuesday"):
+        loader.load_job_detail(spark, src, target, rejects, as_of(), buckets=2, load_id=load)
+    assert sorted(r.load_id for r in spark.read.parquet(rejects).collect()) == ["monday", "tuesday"] and set(jobs(spark, target)) == {"1"}
+
+
 def test_stream_ingest_newest_wins(spark, as_of, tmp_path):
     src, target, rejects, ck = (str(tmp_path / n) for n in ("in", "jobs", "rejects", "ck"))
     put(src, "a.json", record("1", title="old", parsed_at="2024-01-02T00:00:00Z"))

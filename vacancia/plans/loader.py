@@ -16,8 +16,12 @@ from vacancia.sources import readers, writers
 def load_job_detail(
     spark: SparkSession, prefix: str, target: str, rejects: str | None, as_of: Column,
     since: dt.datetime | None = None, dry_run: bool = False, validate_payload: bool = True, buckets: int = 64,
+    load_id: str | None = None,
 ) -> DataFrame:
-    """Scan, route, merge (last payload wins) and quarantine. Returns one row of counters."""
+    """Scan, route, merge (last payload wins) and quarantine. Returns one row of counters.
+
+    A load that is repeated under its ``load_id`` leaves one copy of its rejects.
+    """
     routed = validate.with_outcome(readers.scan_parsed_json(spark, prefix, since), validate_payload)
     skipped = readers.count_skipped(spark, prefix, since)
     if dry_run:
@@ -29,7 +33,7 @@ def load_job_detail(
     split = validate.split_routed(routed)
     merge_jobs(spark, target, split.valid, ["object_key"], as_of, buckets)
     if rejects is not None:
-        writers.sink_rejects(split.rejected, rejects, as_of)
+        writers.sink_rejects(split.rejected, rejects, as_of, load_id)
     return validate.outcome_counters(routed, skipped)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,17 +29,13 @@ def reject_rows(rejected: DataFrame, as_of: Column) -> DataFrame:
     ).select(*REJECTS.names)
 
 
-def sink_rejects(rejected: DataFrame, path: str, as_of: Column) -> None:
-    """Append only; nothing is ever updated."""
-    reject_rows(rejected, as_of).write.mode("append").parquet(path)
-
-
-def sink_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
-
-
-def sink_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def sink_rejects(rejected: DataFrame, path: str, as_of: Column, load_id: str | None = None) -> None:
+    """Append only; nothing is ever updated. With a ``load_id`` a load that is repeated under it replaces its own rows."""
+    rows = reject_rows(rejected, as_of)
+    if load_id is None:
+        rows.write.mode("append").parquet(path)
+        return
+    rows.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(path)
 
 
 def text_columns(df: DataFrame) -> DataFrame:
@@ -50,17 +47,23 @@ def text_columns(df: DataFrame) -> DataFrame:
     ])
 
 
-def archive_parquet_zstd(tables: dict[str, DataFrame], path: str) -> DataFrame:
-    """Write every table as zstd parquet; returns (table_name, n_rows) counted from what was written."""
-    spark = None
-    counts = None
-    for name, df in tables.items():
-        spark = df.sparkSession
-        target = f"{path}/{name}"
-        text_columns(df).write.mode("overwrite").option("compression", "zstd").parquet(target)
-        row = spark.read.parquet(target).agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
-        counts = row if counts is None else counts.unionByName(row)
-    return counts
+def _write_counted(df: DataFrame, path: str, **options: str) -> int:
+    """Replaces the folder by ``df``; returns its rows, counted by the pass that writes them."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(**options).parquet(path)
+    return seen.get["n"]
+
+
+def archive_parquet_zstd(tables: dict[str, DataFrame], path: str, at_once: int = 4) -> DataFrame:
+    """Write every table as zstd parquet, a few at once; returns (table_name, n_rows) as they were written."""
+    def put(item: tuple[str, DataFrame]) -> tuple[str, int]:
+        name, df = item
+        return name, _write_counted(text_columns(df), f"{path}/{name}", compression="zstd")
+
+    with ThreadPoolExecutor(at_once) as pool:
+        counts = list(pool.map(put, tables.items()))
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(counts, "table_name string, n_rows bigint")
 
 
 # ------------------------------------------------------------------ publishing
@@ -77,8 +80,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def publish_swap(spark: SparkSession, objects: dict[str, DataFrame | None], target: str) -> DataFrame:
-    """Publish each object: load a staging folder, then swap it in.
+def publish_swap(spark: SparkSession, objects: dict[str, DataFrame | None], target: str, at_once: int = 4) -> DataFrame:
+    """Publish each object, a few at once: load a staging folder, then swap it in.
 
     Readers see the old copy until the rename. A missing source keeps the old
     copy. A changed column set needs no special path: the staged files carry the
@@ -86,19 +89,16 @@ def publish_swap(spark: SparkSession, objects: dict[str, DataFrame | None], targ
     Between the two renames a reader may find no folder; a crash there leaves
     the previous copy under ``<name>__old``.
     """
-    report = []
-    for name, df in objects.items():
+    def put(item: tuple[str, DataFrame | None]) -> tuple:
+        name, df = item
         start = time.time()
         if df is None:
-            report.append((name, 0, 0.0, True, False))
-            continue
+            return name, 0, 0.0, True, False
         live, staging, old = (f"{target}/{name}{s}" for s in ("", "__staging", "__old"))
-        df.write.mode("overwrite").parquet(staging)
-        staged = spark.read.parquet(staging)
+        rows = _write_counted(df, staging)
         fs, live_p = _fs(spark, live)
         had = fs.exists(live_p)
-        rebuilt = had and set(spark.read.parquet(live).columns) != set(staged.columns)
-        rows = staged.count()
+        rebuilt = had and set(spark.read.parquet(live).columns) != set(df.columns)
         old_p = _fs(spark, old)[1]
         if fs.exists(old_p):
             fs.delete(old_p, True)
@@ -107,7 +107,10 @@ def publish_swap(spark: SparkSession, objects: dict[str, DataFrame | None], targ
         fs.rename(_fs(spark, staging)[1], live_p)
         if had:
             fs.delete(old_p, True)
-        report.append((name, rows, round(time.time() - start, 2), False, rebuilt))
+        return name, rows, round(time.time() - start, 2), False, rebuilt
+
+    with ThreadPoolExecutor(at_once) as pool:
+        report = list(pool.map(put, objects.items()))
     return spark.createDataFrame(
         report, "object string, rows bigint, seconds double, missing boolean, rebuilt boolean"
     )

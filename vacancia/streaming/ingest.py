@@ -26,9 +26,9 @@ def stream_records(
 
 def stream_ingest(
     spark: SparkSession, prefix: str, target: str, rejects: str, checkpoint: str, as_of: Column,
-    buckets: int = 64, files_per_trigger: int | None = None, one_per_object: bool = True,
+    buckets: int = 64, files_per_trigger: int | None = 10_000, one_per_object: bool = True,
 ):
-    """Start a run over everything new; the checkpoint replaces a since-date.
+    """Start a run over everything new, ``files_per_trigger`` objects a batch; the checkpoint replaces a since-date.
 
     A batch may run twice after a failure. The merge takes only versions at
     least as new, and rejects are stored per batch id and replaced as a whole,
@@ -37,13 +37,15 @@ def stream_ingest(
     def load(batch: DataFrame, batch_id: int) -> None:
         # Both sides of the split read the batch; keep it for the length of this call.
         batch = batch.persist()
-        split = split_valid_rejected(batch)
-        merge_jobs(batch.sparkSession, target, split.valid, ["object_key"], as_of, buckets, newest_wins=True)
-        (
-            reject_rows(split.rejected, as_of).withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects)
-        )
-        batch.unpersist()
+        try:
+            split = split_valid_rejected(batch)
+            merge_jobs(batch.sparkSession, target, split.valid, ["object_key"], as_of, buckets, newest_wins=True)
+            (
+                reject_rows(split.rejected, as_of).withColumn("batch_id", F.lit(batch_id))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects)
+            )
+        finally:
+            batch.unpersist()
 
     return (
         stream_records(spark, prefix, files_per_trigger, one_per_object).writeStream.foreachBatch(load)
