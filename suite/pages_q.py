@@ -278,7 +278,7 @@ register(
 register(
     "archive_slug",
     lambda s, d: tb.read(s, d, "part").select("p_partkey", archive_slug(F.expr("case when p_partkey % 9 = 0 then ' ?! ' else ' ' || p_name || ' / Kế ' || p_brand || '!' end")).alias("slug")),
-    """select p_partkey, coalesce(nullif(trim(regexp_replace(lower(case when p_partkey % 9 = 0 then ' ?! ' else ' ' || p_name || ' / Kế ' || p_brand || '!' end), '[^\p{L}\p{N}]', '-', 'g'), '-'), ''), 'kw') slug from part""",
+    """select p_partkey, coalesce(nullif(trim(regexp_replace(lower(case when p_partkey % 9 = 0 then ' ?! ' else ' ' || p_name || ' / Kế ' || p_brand || '!' end), '[^\\p{L}\\p{N}]', '-', 'g'), '-'), ''), 'kw') slug from part""",
 )
 
 # ------------------------------------------------------------------ listing pages

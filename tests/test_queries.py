@@ -15,7 +15,9 @@ mart_skill_cooccurrence mart_skill_trend job_features upsert_last_wins upsert_ne
 drift_upsert frontier_upsert frontier_claim frontier_apply_outcomes validate_focus split_valid_rejected
 classify_title extract_skills_by_taxonomy parse_extraction_response jobposting_careerviet jobposting_linkedin
 html_to_text search_dedup_counters seed_from_urls_topcv report_kpis weekly_skill_change alert_match alert_cap
-dq_run_checks gfs_retention
+dq_run_checks gfs_retention append_generation prune_keep_newest_runs normalize_run seed_from_listings frontier_stored_cycle
+parse_and_load_batch replay_rejects model_graph classify_level resolve_city first_match_by_join job_clusters best_jobs
+archive_parquet_zstd scan_html_gz scan_function_taxonomy
 """.split()
 NAMES = list(registry.QUERIES) if os.environ.get("SUITE") == "all" else CORE
 
