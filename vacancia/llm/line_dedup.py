@@ -274,6 +274,8 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, sha
     for first in range(0, shards, pass_shards):
         if first:
             rows = stored(rows, "line-pass")
+            for shard in held.values():
+                shard.destroy()
         # One shard at a time comes to the driver and goes out.
         some = arrays.where(F.col("shard").between(first, first + pass_shards - 1)).toLocalIterator()
         held = {r["shard"]: spark.sparkContext.broadcast(bytes(r["arrays"])) for r in some}
