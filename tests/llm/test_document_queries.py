@@ -150,3 +150,33 @@ def test_language_model_by_plain_counts(spark, given):
         g = got[r.doc_id]
         assert (g.held_out, g.n_tokens, g.n_known, g.train_tokens) == (crc(r.doc_id) % 7 == 2, len(words), sum(word[w] > 0 for w in words), n)
         assert g.base_score == pytest.approx(base, rel=1e-9) and g.score == pytest.approx(model, rel=1e-3)
+
+
+@pytest.mark.parametrize("room, parts", [(20, 128), (0, 128), (20, 0), (20, 1)])
+def test_pairs_of_words_without_numbers_count(spark, monkeypatch, room, parts):
+    """Few numbered words, long words and equal counts: every text is scored by the counts of all its pairs."""
+    long = ["langes" * 20 + str(i) for i in range(3)]
+    taught = [f"a{i} b{i} c{i} a{i} b{i} {long[i % 3]} the of {long[i % 3]} the x{i % 7} the" for i in range(120)] + [" ".join(f"p{i} q{i}" for i in range(100))] * 5
+    asked = [*taught[::10], "unseen a1 unseen b1 c1 nowhere", f"{long[0]} the {long[1]}", "q3 p3", None, ""]
+    monkeypatch.setattr(ngram_lm, "least_count", lambda levels, most, true=ngram_lm.least_count: true(levels, room if most == ngram_lm.WORDS else most))
+    if parts == 1:  # the most frequent pairs in the filter, the others by the join
+        monkeypatch.setattr(ngram_lm, "CAPACITY", 400)
+    model = ngram_lm.train(spark.createDataFrame([(t,) for t in taught], "text string"), parts)
+    assert len(model.vocabulary.value.numbers) <= room + 1 and (model.rest is None) == (parts == 128)
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    got = {r.doc_id: r for r in ngram_lm.score(docs, F.lit(True), model).collect()}
+    word, pair = Counter(), Counter()
+    for text in taught:
+        words = [*ascii_words(text), b" "]
+        word.update(words)
+        pair.update(zip([words[-1], *words[:-1]], words))
+    room, smooth = sum(word.values()) + len(word) + 1, ngram_lm.SMOOTHING
+    for d, text in enumerate(asked):
+        words = [*ascii_words(text), b" "]
+        base = model = 0.0
+        for before, w in zip([words[-1], *words[:-1]], words):
+            p = (word[w] + 1) / room
+            held = 2 ** int(math.log2(pair[before, w])) if pair[before, w] else 0
+            base, model = base + math.log10(p), model + math.log10((held + smooth * p) / (word[before] + smooth))
+        assert (got[d].n_tokens, got[d].n_known) == (len(words), sum(word[w] > 0 for w in words))
+        assert got[d].base_score == pytest.approx(base, rel=1e-9) and got[d].score == pytest.approx(model, rel=1e-6)

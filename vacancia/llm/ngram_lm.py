@@ -5,6 +5,10 @@ A pair (word, next word) whose count is c is put into one Bloom filter at levels
 one is missing and so reads a count that is never above the true one, but for the filter's rare
 false positives. P(w | h) = (pair(h, w) + T * P(w)) / (count(h) + T), with P the add-one unigram.
 
+Every pair counts. Pairs of frequent words, which have numbers, are named by those; any other pair,
+of rare or long words, by a 62-bit hash. The own counts of words without a number are in the filter
+too: no pair is more frequent than its context.
+
 The filter grows with the counts, in parts of equal size that are broadcast one by one; a worker
 holds a few of them at a time. Pairs beyond the last part allowed join the texts that miss them.
 """
@@ -18,13 +22,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.llm.common import ascii_words, batch_of, merge_counts, ship, slices, stored
 from vacancia.session import work_dir
 
-#: Words that have numbers (the rest is scored by unigram alone); bits, segments and hashes of a part of the filter.
+#: Words that have numbers (the others go by hashes); bits, segments and hashes of a part of the filter.
 WORDS, PART_BITS, SEGMENTS, HASHES = 1 << 17, 1 << 27, 256, 4
 #: Entries (pair, level) a part takes: ten bits each.
 CAPACITY = PART_BITS // 10
@@ -42,8 +47,8 @@ END = " "
 COUNTS = pa.schema([("word", pa.string()), ("n", pa.int64())])
 PAIRS = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
 SEGMENT = pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
-_RARE = pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())]))
-_MISSED = pa.list_(pa.struct([("pair", pa.int64()), ("k", pa.int64()), ("gain", pa.float64())]))
+_RARE = pa.list_(pa.struct([("word", pa.string()), ("held", pa.int64()), ("k", pa.int64())]))
+_MISSED = pa.list_(pa.struct([("pair", pa.int64()), ("k", pa.int64()), ("gain", pa.float64()), ("word", pa.string())]))
 SCORED = pa.schema([
     ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
     ("base", pa.float64()), ("model", pa.float64()), ("rare", _RARE),
@@ -51,7 +56,7 @@ SCORED = pa.schema([
 ])
 SCORED_DDL = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
-    "rare array<struct<word:string,k:long>>, missed array<struct<pair:long,k:long,gain:double>>"
+    "rare array<struct<word:string,held:long,k:long>>, missed array<struct<pair:long,k:long,gain:double,word:string>>"
 )
 
 
@@ -65,9 +70,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 seen.update(ascii_words(text))
                 seen[END.encode()] += 1
             if len(seen) > 400_000:
-                yield batch_of(COUNTS, [w.decode() for w in seen], list(seen.values()))
+                yield batch_of(COUNTS, list(seen), list(seen.values()))
                 seen = Counter()
-        yield batch_of(COUNTS, [w.decode() for w in seen], list(seen.values()))
+        yield batch_of(COUNTS, list(seen), list(seen.values()))
 
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -98,7 +103,7 @@ class Vocabulary:
 
 
 def frequent_words(counts: DataFrame, room: int = WORDS) -> Vocabulary:
-    """At most ``room`` words (and the end): those with the highest counts, no tie cut."""
+    """Numbers for at most ``room`` words of up to 64 bytes (and the end), those with the highest counts, no tie cut: a shorter way, pairs of the others count too."""
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     levels = counts.where(F.octet_length("word") <= 64).groupBy("n").agg(F.count(F.lit(1))).collect()
     least = least_count(levels, room)
@@ -115,23 +120,47 @@ def _numbered(v: Vocabulary, words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(v.numbers.get, words, itertools.repeat(0)), np.int64, len(words))
 
 
-def _pairs_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pair numbers of a text's words (its end included, itself the context of the first word) and where both are numbered."""
-    before = np.concatenate([ids[-1:], ids[:-1]])
-    return before << 20 | ids, (before > 0) & (ids > 0)
+def _key(before, word: np.ndarray) -> np.ndarray:
+    """Names of pairs that are not of two numbered words, beyond the names of those; of ``before`` 0, of the word alone."""
+    return (_mix(_mix(np.asarray(before, np.uint64)) + word) >> np.uint64(2) | np.uint64(1 << 62)).view(np.int64)
+
+
+@dataclass
+class Keyed:
+    """A text's words and its end: numbers (0: none), names of the pairs each ends (the end is the context of the first word), and the words without a number, with places and own names."""
+
+    ids: np.ndarray
+    pair: np.ndarray
+    at: np.ndarray
+    words: list[bytes]
+    own: np.ndarray
+
+
+def _keyed(v: Vocabulary, text: str | None) -> Keyed:
+    words = ascii_words(text)
+    ids = np.append(_numbered(v, words), v.end)
+    pair = np.roll(ids, 1) << 20 | ids
+    at = np.flatnonzero(ids == 0)
+    if not len(at):
+        return Keyed(ids, pair, at, [], at)
+    others = [words[i] for i in at.tolist()]
+    codes = ids.astype(np.uint64)
+    codes[at] = np.fromiter(map(xxhash.xxh64_intdigest, others), np.uint64, len(others)) | np.uint64(1 << 63)
+    named = np.union1d(at, at + 1)  # the end, which is last, has a number
+    pair[named] = _key(codes[named - 1], codes[named])
+    return Keyed(ids, pair, at, others, _key(0, codes[at]))
 
 
 def pair_counts(texts: DataFrame, held) -> DataFrame:
-    """pair, n over all whole texts, of pairs whose words both have numbers: a count over the least frequent of them needs both."""
+    """pair, n of all pairs of all whole texts, and of the words without a number."""
 
     def run(batches):
         keys, counts, size = [], [], 0
-        end = np.array([held.value.end])
         for part in slices(batches):
             found = []
             for text in part.column("text").to_pylist():
-                pair, both = _pairs_of(np.concatenate([_numbered(held.value, ascii_words(text)), end]))
-                found.append(pair[both])
+                keyed = _keyed(held.value, text)
+                found += [keyed.pair, keyed.own]
             k, c = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
             keys.append(k)
             counts.append(c)
@@ -265,48 +294,58 @@ def train(texts: DataFrame, parts: int = PARTS) -> Model:
     return Model(held, *build_filter(pairs, parts), counts, vocabulary.total, vocabulary.distinct)
 
 
-def _numbered_texts(v: Vocabulary, texts: list[str | None]):
-    """For each text: the numbers of its words and its end, and its words without a number."""
-    for text in texts:
-        words = ascii_words(text)
-        ids = np.append(_numbered(v, words), v.end)
-        yield ids, Counter(words[i] for i in np.flatnonzero(ids[:-1] == 0).tolist())
+def _probed(parts: list, texts: list[Keyed]) -> list[np.ndarray]:
+    """For each text: the counts of its pairs as the filter holds them, none above that of a context without a number."""
+    sizes = np.array([len(t.pair) for t in texts])
+    starts = np.cumsum(sizes) - sizes
+    counts = probe(parts, np.concatenate([t.pair for t in texts]))
+    after, own = np.concatenate([t.at + 1 + a for t, a in zip(texts, starts)]), np.concatenate([t.own for t in texts])
+    found = counts[after] > 0
+    after = after[found]
+    counts[after] = np.minimum(counts[after], probe(parts, own[found]))
+    return np.split(counts, starts[1:])
 
 
-def _probed(parts: list, ids: list[np.ndarray]) -> list[np.ndarray]:
-    """For each text: the counts of its pairs as the filter holds them."""
-    pairs = [p[both] for p, both in map(_pairs_of, ids)]
-    return np.split(probe(parts, np.concatenate(pairs)), np.cumsum([len(p) for p in pairs])[:-1])
-
-
-def _score_text(v: Vocabulary, ids: np.ndarray, counts: np.ndarray, list_missed: bool):
-    """Tokens, known ones, base and model sums of log10 over numbered words, model's factor for others, missed pairs."""
-    pair, both = _pairs_of(ids)
-    seen = v.counts[pair >> 20].astype(float)
-    count = np.zeros(len(ids))
+def _score_text(v: Vocabulary, text: Keyed, counts: np.ndarray, list_missed: bool):
+    """Tokens, known ones, base and model sums of log10 over numbered words, model's factor for others, those words by their pairs' counts, missed pairs."""
+    ids, before = text.ids, np.roll(text.ids, 1)
+    seen = v.counts[before].astype(float)
     # A context's pair counts never sum to more than its own count; false positives are held to it.
-    count[both] = np.minimum(counts, seen[both])
+    count = np.where(before > 0, np.minimum(counts, seen), counts)
     weight = SMOOTHING / (seen + SMOOTHING)
     unigram = (v.counts[ids] + 1) / (v.total + v.distinct + 1)
     # A pair's count c raises the probability, from that without any, by the factor 1 + c * gain.
-    gain = (1 - weight) / np.maximum(seen, 1) / (weight * unigram)
+    gain = 1 / (SMOOTHING * unigram)
     numbered = ids > 0
     base = np.log10(unigram[numbered]).sum()
     model = np.log10(np.where(numbered, weight * unigram * (1 + count * gain), weight)).sum()
+    rare = Counter(zip(text.words, counts[text.at].tolist()))
     missed = []
     if list_missed:
-        mine = np.flatnonzero(both & (count == 0))
-        keys, first, k = np.unique(pair[mine], return_index=True, return_counts=True)
-        missed = [{"pair": a, "k": b, "gain": c} for a, b, c in zip(keys.tolist(), k.tolist(), gain[mine[first]].tolist())]
-    return len(ids), int((numbered & (v.counts[ids] > 0)).sum()), float(base), float(model), missed
+        mine = np.flatnonzero(count == 0)
+        keys, first, k = np.unique(text.pair[mine], return_index=True, return_counts=True)
+        at = mine[first]
+        words = [None if i else text.words[j] for i, j in zip(ids[at].tolist(), np.searchsorted(text.at, at).tolist())]
+        missed = [{"pair": a, "k": b, "gain": c, "word": w} for a, b, c, w in zip(keys.tolist(), k.tolist(), gain[at].tolist(), words)]
+    return len(ids), int((numbered & (v.counts[ids] > 0)).sum()), float(base), float(model), rare, missed
+
+
+def _listed(rare: list[Counter]) -> pa.Array:
+    """One list of (word, held, k) for each text."""
+    ends = np.cumsum([0, *map(len, rare)])
+    words, held = zip(*itertools.chain(*rare)) if ends[-1] else ((), ())
+    flat = [words, held, list(itertools.chain(*(r.values() for r in rare)))]
+    fields = list(_RARE.value_type)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, fields)], fields=fields), type=_RARE)
 
 
 def score(docs: DataFrame, held_out, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
     ``held_out`` is a boolean column over docs. Numbered words are scored in the map; the other
-    words of each text (rare by choice of the numbered ones) join their exact counts by word and come back as one sum
-    a row. So do pairs that the filter missed, where it doesn't hold all pairs. A null text is its end alone. Without training text every token has probability
+    words of each text (rare by choice of the numbered ones) join their exact counts by word, each with the
+    counts of the pairs it ends, and come back as one sum a row: a word's count decides both its unigram and its
+    weight as a context. So do pairs that the filter missed, where it doesn't hold all pairs. A null text is its end alone. Without training text every token has probability
     1 / (0 + 0 + 1). Repeated rows are scored each on its own; other columns are not read.
     """
     ship(docs.sparkSession)
@@ -317,26 +356,23 @@ def score(docs: DataFrame, held_out, model: Model) -> DataFrame:
 
         row = TaskContext.get().partitionId() << 40
         v, chunk = _value(vocabulary), min(CHUNK * max(1, len(parts)), CHUNKS)
-        ids, rare, doc_ids, held, size = [], [], [], [], 0
+        keyed, doc_ids, held, size = [], [], [], 0
 
         def scored():
-            n, known, base, lm, missed = zip(*[_score_text(v, x, c, list_missed) for x, c in zip(ids, _probed(parts, ids))])
-            others = [[{"word": w.decode(), "k": k} for w, k in r.items()] for r in rare]
-            return batch_of(SCORED, range(row, row + len(ids)), doc_ids, held, n, known, base, lm, others, missed)
+            n, known, base, lm, rare, missed = zip(*[_score_text(v, x, c, list_missed) for x, c in zip(keyed, _probed(parts, keyed))])
+            return batch_of(SCORED, range(row, row + len(keyed)), doc_ids, held, n, known, base, lm, _listed(rare), missed)
 
         for part in slices(batches):
             texts = part.column("text").to_pylist()
-            for x, others in _numbered_texts(v, texts):
-                ids.append(x)
-                rare.append(others)
+            keyed += [_keyed(v, t) for t in texts]
             doc_ids += part.column("doc_id").to_pylist()
             held += part.column("held_out").to_pylist()
             size += sum(len(t or "") for t in texts)
             if size > chunk:
                 yield scored()
-                row += len(ids)
-                ids, rare, doc_ids, held, size = [], [], [], [], 0
-        if ids:
+                row += len(keyed)
+                keyed, doc_ids, held, size = [], [], [], 0
+        if keyed:
             yield scored()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -344,16 +380,22 @@ def score(docs: DataFrame, held_out, model: Model) -> DataFrame:
     room = float(model.total + model.distinct + 1)
     rare = rows.select("row", F.inline("rare")).join(model.counts, "word", "left")
     n = F.coalesce("n", F.lit(0))
+    unigram = (n + 1) / F.lit(room)
+    # As contexts and as words: T / (n + T), and 1 + c * gain of the count c of the pair that the word ends.
+    paired = (SMOOTHING + F.least("held", n) / unigram) / (n + SMOOTHING)
     sums = rare.groupBy("row").agg(
-        F.sum(F.col("k") * F.log10((n + 1) / F.lit(room))).alias("rare_log"), F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("rare_known")
+        F.sum(F.col("k") * F.log10(unigram)).alias("rare_log"), F.sum(F.col("k") * F.log10(paired)).alias("rare_pairs"),
+        F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("rare_known"),
     )
     rest = F.coalesce("rare_log", F.lit(0.0))
-    out, gained = rows.join(sums, "row", "left"), F.lit(0.0)
+    out, gained = rows.join(sums, "row", "left"), F.coalesce("rare_pairs", F.lit(0.0))
     if model.rest is not None:
-        held = F.pow(F.lit(2.0), F.floor(F.log2("n")))
-        missed = rows.select("row", F.inline("missed")).join(model.rest, "pair")
-        out = out.join(missed.groupBy("row").agg(F.sum(F.col("k") * F.log10(1 + held * F.col("gain"))).alias("gained")), "row", "left")
-        gained = F.coalesce("gained", F.lit(0.0))
+        count = F.pow(F.lit(2.0), F.floor(F.log2("n")))
+        missed = rows.select("row", F.inline("missed")).join(model.rest, "pair").select("row", "k", "gain", "word", count.alias("count"))
+        others = missed.where("word is not null").join(model.counts, "word").select("row", "k", (F.lit(room) / (SMOOTHING * (F.col("n") + 1))).alias("gain"), F.lit(None).cast("string").alias("word"), "count")
+        missed = missed.where("word is null").unionByName(others)
+        out = out.join(missed.groupBy("row").agg(F.sum(F.col("k") * F.log10(1 + F.col("count") * F.col("gain"))).alias("gained")), "row", "left")
+        gained += F.coalesce("gained", F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + rest).alias("base_score"), (F.col("model") + rest + gained).alias("score"),
