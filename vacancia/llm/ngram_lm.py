@@ -127,28 +127,40 @@ def _key(before, word: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Keyed:
-    """A text's words and its end: numbers (0: none), names of the pairs each ends (the end is the context of the first word), and the words without a number, with places and own names."""
+    """Texts' words, each with its end, one after another: first places, numbers (0: none) of each word and of its context (a text's end is that of its first word), names of the pairs, and the words without a number, with places and own names."""
 
+    starts: np.ndarray
     ids: np.ndarray
+    before: np.ndarray
     pair: np.ndarray
     at: np.ndarray
     words: list[bytes]
     own: np.ndarray
 
 
-def _keyed(v: Vocabulary, text: str | None) -> Keyed:
-    words = ascii_words(text)
-    ids = np.append(_numbered(v, words), v.end)
-    pair = np.roll(ids, 1) << 20 | ids
-    at = np.flatnonzero(ids == 0)
-    if not len(at):
-        return Keyed(ids, pair, at, [], at)
+def _keyed(v: Vocabulary, texts: list[str | None]) -> Keyed:
+    words, ends = [], []
+    for text in texts:
+        words += ascii_words(text)
+        words.append(END.encode())
+        ends.append(len(words))
+    last = np.array(ends, np.int64) - 1
+    starts = np.concatenate([[0], last[:-1] + 1])
+
+    def shifted(x):
+        out = np.concatenate([x[:1], x[:-1]])
+        out[starts] = x[last]
+        return out
+
+    ids = _numbered(v, words)
+    before = shifted(ids)
+    pair, at = before << 20 | ids, np.flatnonzero(ids == 0)
     others = [words[i] for i in at.tolist()]
     codes = ids.astype(np.uint64)
     codes[at] = np.fromiter(map(xxhash.xxh64_intdigest, others), np.uint64, len(others)) | np.uint64(1 << 63)
-    named = np.union1d(at, at + 1)  # the end, which is last, has a number
-    pair[named] = _key(codes[named - 1], codes[named])
-    return Keyed(ids, pair, at, others, _key(0, codes[at]))
+    named = np.flatnonzero((ids == 0) | (before == 0))
+    pair[named] = _key(shifted(codes)[named], codes[named])
+    return Keyed(starts, ids, before, pair, at, others, _key(0, codes[at]))
 
 
 def pair_counts(texts: DataFrame, held) -> DataFrame:
@@ -157,11 +169,8 @@ def pair_counts(texts: DataFrame, held) -> DataFrame:
     def run(batches):
         keys, counts, size = [], [], 0
         for part in slices(batches):
-            found = []
-            for text in part.column("text").to_pylist():
-                keyed = _keyed(held.value, text)
-                found += [keyed.pair, keyed.own]
-            k, c = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
+            keyed = _keyed(held.value, part.column("text").to_pylist())
+            k, c = np.unique(np.concatenate([keyed.pair, keyed.own]), return_counts=True)
             keys.append(k)
             counts.append(c)
             size += len(k)
@@ -294,40 +303,45 @@ def train(texts: DataFrame, parts: int = PARTS) -> Model:
     return Model(held, *build_filter(pairs, parts), counts, vocabulary.total, vocabulary.distinct)
 
 
-def _probed(parts: list, texts: list[Keyed]) -> list[np.ndarray]:
-    """For each text: the counts of its pairs as the filter holds them, none above that of a context without a number."""
-    sizes = np.array([len(t.pair) for t in texts])
-    starts = np.cumsum(sizes) - sizes
-    counts = probe(parts, np.concatenate([t.pair for t in texts]))
-    after, own = np.concatenate([t.at + 1 + a for t, a in zip(texts, starts)]), np.concatenate([t.own for t in texts])
+def _probed(parts: list, held: list[Keyed]) -> list[np.ndarray]:
+    """The counts of each one's pairs as the filter holds them, none above that of a context without a number."""
+    ends = np.cumsum([len(x.pair) for x in held])
+    counts = probe(parts, np.concatenate([x.pair for x in held]))
+    # An end has a number, so the word after one without it is in the same text.
+    after = np.concatenate([x.at + 1 + end - len(x.pair) for x, end in zip(held, ends.tolist())])
     found = counts[after] > 0
     after = after[found]
-    counts[after] = np.minimum(counts[after], probe(parts, own[found]))
-    return np.split(counts, starts[1:])
+    counts[after] = np.minimum(counts[after], probe(parts, np.concatenate([x.own for x in held])[found]))
+    return np.split(counts, ends[:-1])
 
 
-def _score_text(v: Vocabulary, text: Keyed, counts: np.ndarray, list_missed: bool):
-    """Tokens, known ones, base and model sums of log10 over numbered words, model's factor for others, those words by their pairs' counts, missed pairs."""
-    ids, before = text.ids, np.roll(text.ids, 1)
-    seen = v.counts[before].astype(float)
+def _scores(v: Vocabulary, x: Keyed, counts: np.ndarray, list_missed: bool) -> tuple:
+    """For each text: tokens, known ones, base and model sums of log10 over numbered words, model's factor for others, those words by their pairs' counts, missed pairs."""
+    seen, own = v.counts[x.before].astype(float), v.counts[x.ids]
     # A context's pair counts never sum to more than its own count; false positives are held to it.
-    count = np.where(before > 0, np.minimum(counts, seen), counts)
+    count = np.where(x.before > 0, np.minimum(counts, seen), counts)
     weight = SMOOTHING / (seen + SMOOTHING)
-    unigram = (v.counts[ids] + 1) / (v.total + v.distinct + 1)
+    unigram = (own + 1) / (v.total + v.distinct + 1)
     # A pair's count c raises the probability, from that without any, by the factor 1 + c * gain.
     gain = 1 / (SMOOTHING * unigram)
-    numbered = ids > 0
-    base = np.log10(unigram[numbered]).sum()
-    model = np.log10(np.where(numbered, weight * unigram * (1 + count * gain), weight)).sum()
-    rare = Counter(zip(text.words, counts[text.at].tolist()))
-    missed = []
-    if list_missed:
-        mine = np.flatnonzero(count == 0)
-        keys, first, k = np.unique(text.pair[mine], return_index=True, return_counts=True)
-        at = mine[first]
-        words = [None if i else text.words[j] for i, j in zip(ids[at].tolist(), np.searchsorted(text.at, at).tolist())]
-        missed = [{"pair": a, "k": b, "gain": c, "word": w} for a, b, c, w in zip(keys.tolist(), k.tolist(), gain[at].tolist(), words)]
-    return len(ids), int((numbered & (v.counts[ids] > 0)).sum()), float(base), float(model), rare, missed
+    numbered = x.ids > 0
+    base = np.where(numbered, np.log10(unigram), 0.0)
+    model = base + np.log10(np.where(numbered, weight * (1 + count * gain), weight))
+    ends = np.append(x.starts[1:], len(x.ids))
+    firsts = np.searchsorted(x.at, np.append(x.starts, len(x.ids))).tolist()
+    held = counts[x.at].tolist()
+    rare = [Counter(zip(x.words[a:b], held[a:b])) for a, b in zip(firsts, firsts[1:])]
+    missed = [_missed(x, np.flatnonzero(count[a:b] == 0) + a, gain) if list_missed else [] for a, b in zip(x.starts.tolist(), ends.tolist())]
+    known = np.add.reduceat((numbered & (own > 0)).astype(np.int64), x.starts)
+    return ends - x.starts, known, np.add.reduceat(base, x.starts), np.add.reduceat(model, x.starts), rare, missed
+
+
+def _missed(x: Keyed, mine: np.ndarray, gain: np.ndarray) -> list[dict]:
+    """The pairs at the places ``mine``; those of a word without a number with the word in the place of its gain."""
+    keys, first, k = np.unique(x.pair[mine], return_index=True, return_counts=True)
+    at = mine[first]
+    words = [None if i else x.words[j] for i, j in zip(x.ids[at].tolist(), np.searchsorted(x.at, at).tolist())]
+    return [{"pair": a, "k": b, "gain": c, "word": w} for a, b, c, w in zip(keys.tolist(), k.tolist(), gain[at].tolist(), words)]
 
 
 def _listed(rare: list[Counter]) -> pa.Array:
@@ -359,18 +373,20 @@ def score(docs: DataFrame, held_out, model: Model) -> DataFrame:
         keyed, doc_ids, held, size = [], [], [], 0
 
         def scored():
-            n, known, base, lm, rare, missed = zip(*[_score_text(v, x, c, list_missed) for x, c in zip(keyed, _probed(parts, keyed))])
-            return batch_of(SCORED, range(row, row + len(keyed)), doc_ids, held, n, known, base, lm, _listed(rare), missed)
+            found = zip(*[_scores(v, x, c, list_missed) for x, c in zip(keyed, _probed(parts, keyed))])
+            n, known, base, lm = (np.concatenate(next(found)) for _ in range(4))
+            rare, missed = (list(itertools.chain(*lists)) for lists in found)
+            return batch_of(SCORED, range(row, row + len(doc_ids)), doc_ids, held, n, known, base, lm, _listed(rare), missed)
 
         for part in slices(batches):
             texts = part.column("text").to_pylist()
-            keyed += [_keyed(v, t) for t in texts]
+            keyed.append(_keyed(v, texts))
             doc_ids += part.column("doc_id").to_pylist()
             held += part.column("held_out").to_pylist()
             size += sum(len(t or "") for t in texts)
             if size > chunk:
                 yield scored()
-                row += len(keyed)
+                row += len(doc_ids)
                 keyed, doc_ids, held, size = [], [], [], 0
         if keyed:
             yield scored()
