@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of texts whose sets of five-word shingles are 0.8 or more alike.
 
-    Texts that alike differ by about ten bits of a fingerprint, far beyond the four that operator 4
-    links, so candidates come from MinHash bands here and whole shingle sets decide.
+    Candidates are the groups that operator 4's SimHash links within four bits. Texts just 0.8 alike
+    differ by about ten bits, so those of MinHash bands join them; whole shingle sets decide.
     """
     return near_copies.keep_one_of_each(docs, width=5)
 

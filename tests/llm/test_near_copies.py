@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from vacancia.llm import near_copies
+from vacancia.llm import near_copies, simhash_dedup
 from vacancia.llm.common import ascii_words
 
 
@@ -81,3 +82,14 @@ def test_large_groups_are_compared_by_bucket(spark, rows, monkeypatch):
     for by_bucket in (0, 2, 10**6):
         monkeypatch.setattr(near_copies, "BY_BUCKET", by_bucket)
         assert {r.doc_id for r in near_copies.keep_one_of_each(frame).collect()} - {None} == want
+
+
+def test_simhash_links_are_candidates(spark, rows, monkeypatch):
+    """Without any band the SimHash operator's links are left: near copies go if they lie within its bits, and only if they are similar."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda shingles: np.zeros(0, np.int64))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} - {None}
+    prints = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash_dedup.near_groups(docs, width=5).collect()}
+    texts = {d: slow_sets(t) for d, t in rows}
+    similar = {d for d, (_, c) in prints.items() if d is not None and c < d and texts[c] and 5 * len(texts[c] & texts[d]) >= 4 * len(texts[c] | texts[d])}
+    assert len({prints[d][0] for d in similar}) > 20 and not got & similar and slow_kept(rows) <= got

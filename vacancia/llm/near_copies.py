@@ -1,9 +1,11 @@
-"""Near copies by shingle similarity: MinHash bands find candidates, the whole shingle sets decide.
+"""Near copies by shingle similarity: SimHash links and MinHash bands find candidates, the whole shingle sets decide.
 
 Two texts are near copies if their sets of word shingles have a Jaccard similarity of SIMILAR or
-more. Each set is dealt to BANDS buckets, each keyed by ROWS of its minima under random hashes; at
+more. Fingerprints of the same shingles are linked by the SimHash operator (pigeonring, RADIUS bits),
+and all texts of one of its groups are candidates. Texts that are just similar enough differ by about ten bits, though; so
+each set is also dealt to BANDS buckets, each keyed by ROWS of its minima under random hashes; at
 similarity s two sets share a bucket with probability 1 - (1 - s ** ROWS) ** BANDS, at 0.8 all but
-1.3e-7. Every set is tied to its buckets' smallest, so candidates need no pair lists. Within each
+1.3e-7. Every set is tied to the smallest of its buckets and SimHash groups, so candidates need no pair lists. Within each
 group tied that way all sets are compared by a walk from set to set over what is not yet reached;
 large groups are dealt as pairs of parts. Groups so large that this would move their sets more than
 once a band (texts that have nothing but a licence in common may tie thousands of them) are compared
@@ -18,9 +20,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacancia.llm import simhash_dedup
 from vacancia.llm.common import ascii_words, batch_of, id_texts, slices, stored
 from vacancia.llm.components import connected
-from vacancia.llm.simhash import shingle_hashes
+from vacancia.llm.simhash import fingerprint, shingle_hashes
 
 WIDTH = 5
 #: The least similarity, as a fraction of whole numbers: 0.8.
@@ -36,7 +39,7 @@ _TIMES = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
 _FOLD = _RANDOM.integers(0, 1 << 64, ROWS, np.uint64) | np.uint64(1)
 #: Bits of the map of candidates' set numbers that is broadcast, so that other sets are not moved.
 MAP_BITS = 25
-KEYS = pa.schema([("doc_id", pa.int64()), ("set", pa.int64()), ("keys", pa.list_(pa.int64()))])
+KEYS = pa.schema([("doc_id", pa.int64()), ("set", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64()))])
 SETS = pa.schema([("set", pa.int64()), ("shingles", pa.binary())])
 LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -54,21 +57,27 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return ((folded ^ (folded >> np.uint64(31))) & ~np.uint64(63) | np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def _sets(texts: list, width: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _hashes(texts: list, width: int) -> list[np.ndarray]:
+    return [shingle_hashes(ascii_words(t), width) for t in texts]
+
+
+def _sets(hashes: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """The distinct shingles of each text and the set's number."""
-    sets = [np.unique(shingle_hashes(ascii_words(t), width)) for t in texts]
+    sets = list(map(np.unique, hashes))
     return sets, np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
 
 
 def set_keys(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, set (a number of the shingle set) and band keys of every whole text; map-only."""
+    """doc_id, set (a number of the shingle set), fp (its SimHash, null without words) and band keys of every whole text; map-only."""
 
     def run(batches):
         for part in slices(batches):
-            sets, numbers = _sets(part.column("text").to_pylist(), width)
-            yield batch_of(KEYS, part.column("doc_id"), numbers, [band_keys(s) for s in sets])
+            hashes = _hashes(part.column("text").to_pylist(), width)
+            sets, numbers = _sets(hashes)
+            prints = np.array([fingerprint(h) for h in hashes], np.uint64).view(np.int64)
+            yield batch_of(KEYS, part.column("doc_id"), numbers, [p if len(h) else None for p, h in zip(prints.tolist(), hashes)], [band_keys(s) for s in sets])
 
-    return id_texts(docs).mapInArrow(run, "doc_id long, set long, keys array<long>")
+    return id_texts(docs).mapInArrow(run, "doc_id long, set long, fp long, keys array<long>")
 
 
 def candidate_sets(docs: DataFrame, groups: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -82,7 +91,7 @@ def candidate_sets(docs: DataFrame, groups: DataFrame, width: int = WIDTH) -> Da
 
     def run(batches):
         for part in slices(batches):
-            sets, numbers = _sets(part.column("text").to_pylist(), width)
+            sets, numbers = _sets(_hashes(part.column("text").to_pylist(), width))
             at = numbers & ((1 << MAP_BITS) - 1)
             maybe = np.flatnonzero(held.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
             yield batch_of(SETS, numbers[maybe], [sets[i].tobytes() for i in maybe])
@@ -151,7 +160,8 @@ def _link(batches):
 
 def similar_pairs(docs: DataFrame, rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """u, v: links among the distinct sets of ``docs`` (``rows``: their stored set_keys) that connect all pairs of similar ones."""
-    dealt = stored(rows.groupBy("set").agg(F.first("keys").alias("keys")).select("set", F.explode("keys").alias("key")), "bands")
+    bands = rows.groupBy("set").agg(F.first("keys").alias("keys")).select("set", F.explode("keys").alias("key"))
+    dealt = stored(bands.unionByName(simhash_keys(rows)), "buckets")
     first = dealt.groupBy("key").agg(F.min("set").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first")
     ties = connected(dealt.join(first, "key").where("set != first").select(F.col("set").alias("u"), F.col("first").alias("v")))
     groups = stored(ties.select(F.col("u").alias("set"), F.col("v").alias("root")).unionByName(ties.select(F.col("v").alias("set"), F.col("v").alias("root")).distinct()), "candidates")
@@ -165,6 +175,14 @@ def similar_pairs(docs: DataFrame, rows: DataFrame, width: int = WIDTH) -> DataF
     return split.repartition("key").sortWithinPartitions("key").mapInArrow(_link, "u long, v long")
 
 
+def simhash_keys(rows: DataFrame) -> DataFrame:
+    """set, key: a bucket for each group of fingerprints (fp of ``rows``) that the SimHash operator links; a set whose texts repeat shingles unlike may have several."""
+    prints = stored(rows.where("fp is not null").select("set", "fp").distinct(), "set-prints")
+    linked = prints.join(simhash_dedup.roots(prints.select("fp").distinct()), "fp", "left").select("set", F.coalesce("root", "fp").alias("root"))
+    # The band's place in a key holds a number that no band has.
+    return linked.select("set", F.xxhash64("root").bitwiseOR(F.lit(63)).alias("key")).distinct()
+
+
 def _parts():
     return F.greatest(F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int")
 

@@ -158,6 +158,12 @@ def near_links(prints: DataFrame, part: int = PART) -> DataFrame:
     return parts.select("key", F.col("side").cast("long").alias("side"), "fp").repartition("key").sortWithinPartitions("key").mapInArrow(_link, "u long, v long")
 
 
+def roots(prints: DataFrame) -> DataFrame:
+    """fp, root: of each distinct fingerprint (column fp) with another one within reach over links, the smallest reachable."""
+    ties = connected(near_links(prints))
+    return ties.select(F.col("u").alias("fp"), F.col("v").alias("root")).unionByName(ties.select(F.col("v").alias("fp"), F.col("v").alias("root")).distinct())
+
+
 def near_groups(docs: DataFrame, width: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable over links).
 
@@ -168,8 +174,7 @@ def near_groups(docs: DataFrame, width: int = 4) -> DataFrame:
     """
     rows = stored(fingerprints(docs, width), "prints")
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-prints")
-    ties = connected(near_links(distinct.select("fp")))
-    root = distinct.join(ties.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    root = distinct.join(roots(distinct.select("fp")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     smallest = stored(root, "roots")
     named = smallest.join(smallest.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return rows.join(named, "fp").select(
