@@ -244,6 +244,30 @@ def test_language_model_with_few_numbered_words(docs, rows, monkeypatch):
     assert len(few.numbers) <= 21 and ngram_lm.END.encode() in few.numbers
 
 
+def test_pairs_are_counted_by_groups(spark, docs, rows, monkeypatch):
+    counts = ngram_lm.word_counts(docs.select("text"))
+    vocabulary = ngram_lm.frequent_words(counts)
+    held = spark.sparkContext.broadcast(vocabulary)
+    want = Counter()
+    for _, t in rows:
+        ids = [vocabulary.numbers.get(w.encode() if isinstance(w, str) else w, 0) for w in [*ascii_words(t), ngram_lm.END]]
+        want.update(a << 20 | b for a, b in zip([ids[-1], *ids], ids) if a and b)
+    for most in (1 << 40, vocabulary.total // 7):
+        pairs = ngram_lm.pair_counts(docs.select("text"), held, most)
+        got = [(r.pair, r.n) for r in pairs.collect()]
+        assert len(got) == len(dict(got)) and {p: n for p, n in got if p < 1 << 62} == want
+    # Pairs put into the filter a few at a time, and looked up once however often they are asked.
+    monkeypatch.setattr(ngram_lm, "FILLED", 10)
+    parts, rest = ngram_lm.build_filter(pairs)
+    keys = np.array([*want, *want, *reversed(want)])
+    found, places = ngram_lm.probe(parts, keys), []
+    assert rest is None and (found >= [1 << want[k].bit_length() - 1 for k in keys.tolist()]).all() and (found <= [want[k] for k in keys.tolist()]).mean() > 0.99
+    true = ngram_lm._places
+    monkeypatch.setattr(ngram_lm, "_places", lambda pair, level: places.append((len(pair), level)) or true(pair, level))
+    assert (ngram_lm.probe(parts, keys) == found).all()
+    assert max(n for n, level in places if level == 1) <= len(want)
+
+
 def test_probes_never_fall_short(spark, monkeypatch):
     pairs = spark.createDataFrame([(i << 20 | i + 1, 1 + i % 70) for i in range(5000)], "pair long, n long")
     numbers = np.array([i << 20 | i + 1 for i in range(5000)])

@@ -38,6 +38,10 @@ SEGMENT_BITS = PART_BITS // SEGMENTS
 PARTS = 128
 #: Characters of text whose pairs are probed together: for each part of the filter, and at most.
 CHUNK, CHUNKS = 1_000_000, 8_000_000
+#: Counts of pairs that one group sums, about.
+GROUP = 1_000_000
+#: Pairs a task sorts by segment at a time to put them into the filter.
+FILLED = 1_000_000
 #: A prime that spreads pairs over segments.
 SPREAD = 1_000_003
 #: Weight T of the unigram against the pair counts.
@@ -46,6 +50,7 @@ SMOOTHING = 8.0
 END = " "
 COUNTS = pa.schema([("word", pa.string()), ("n", pa.int64())])
 PAIRS = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+LISTS = pa.schema([("group", pa.int64()), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 SEGMENT = pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
 _RARE = pa.list_(pa.struct([("word", pa.string()), ("held", pa.int64()), ("k", pa.int64())]))
 _MISSED = pa.list_(pa.struct([("pair", pa.int64()), ("k", pa.int64()), ("gain", pa.float64()), ("word", pa.string())]))
@@ -163,8 +168,21 @@ def _keyed(v: Vocabulary, texts: list[str | None]) -> Keyed:
     return Keyed(starts, ids, before, pair, at, others, _key(0, codes[at]))
 
 
-def pair_counts(texts: DataFrame, held) -> DataFrame:
-    """pair, n of all pairs of all whole texts, and of the words without a number."""
+def pair_counts(texts: DataFrame, held, most: int = GROUP) -> DataFrame:
+    """pair, n of all pairs of all whole texts, and of the words without a number.
+
+    Tasks send their counts as lists, one for each of so many groups of pairs that a group sums
+    about ``most`` counts.
+    """
+    groups = held.value.total // most + 1
+
+    def lists(keys, counts):
+        group = (_mix(keys.astype(np.uint64)) % np.uint64(groups)).astype(np.min_scalar_type(groups))
+        order = np.argsort(group, kind="stable")
+        found, first = np.unique(group[order], return_index=True)
+        ends = pa.array([*first.tolist(), len(order)], pa.int32())
+        columns = [pa.ListArray.from_arrays(ends, pa.array(x[order], pa.int64())) for x in (keys, counts)]
+        return batch_of(LISTS, found, *columns)
 
     def run(batches):
         keys, counts, size = [], [], 0
@@ -177,13 +195,18 @@ def pair_counts(texts: DataFrame, held) -> DataFrame:
             if size > 2_000_000:
                 k, c = merge_counts(keys, counts)
                 if len(k) > 1_000_000:
-                    yield batch_of(PAIRS, k, c)
+                    yield lists(k, c)
                     k, c = k[:0], c[:0]
                 keys, counts, size = [k], [c], len(k)
         if keys:
-            yield batch_of(PAIRS, *merge_counts(keys, counts))
+            yield lists(*merge_counts(keys, counts))
+
+    def summed(group: pa.Table) -> pa.Table:
+        keys, counts = (group.column(c).combine_chunks().flatten().to_numpy() for c in ("keys", "counts"))
+        return pa.Table.from_batches([batch_of(PAIRS, *merge_counts([keys], [counts]))])
 
-    return texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    sent = texts.mapInArrow(run, "group long, keys array<long>, counts array<long>")
+    return sent.groupBy("group").applyInArrow(summed, "pair long, n long")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -220,16 +243,28 @@ def build_filter(pairs: DataFrame, most: int = PARTS) -> tuple[list, DataFrame |
 
     def fill(batches):
         bits: dict[int, np.ndarray] = {}
-        for batch in batches:
-            pair, n, segment = (batch.column(c).to_numpy() for c in ("pair", "n", "segment"))
-            for s in np.unique(segment).tolist():
-                mine = segment == s
+
+        def put(rows):
+            pair, n, segment = (np.concatenate(c) for c in zip(*rows))
+            order = np.argsort(segment, kind="stable")
+            found, first = np.unique(segment[order], return_index=True)
+            for s, mine in zip(found.tolist(), np.split(order, first[1:])):
                 flags = bits.setdefault(s, np.zeros(SEGMENT_BITS, bool))
                 p, c = pair[mine], n[mine]
                 for l in range(1, int(c.max()).bit_length() + 1):
                     some = p[c >= 1 << (l - 1)]
                     for place in _places(some, l):
                         flags[place] = True
+
+        rows, size = [], 0
+        for batch in batches:
+            rows.append([batch.column(c).to_numpy() for c in ("pair", "n", "segment")])
+            size += batch.num_rows
+            if size > FILLED:
+                put(rows)
+                rows, size = [], 0
+        if size:
+            put(rows)
         yield batch_of(SEGMENT, list(bits), [np.packbits(f).tobytes() for f in bits.values()])
 
     segment = (F.col("pair") % SPREAD % (SEGMENTS * count)).cast("int")
@@ -254,10 +289,11 @@ def _part(held) -> np.ndarray:
 
 
 def probe(parts: list, pair: np.ndarray) -> np.ndarray:
-    """Counts as the filter holds them: 2 ** (levels found in a row - 1), 0 if the first is missing."""
-    out = np.zeros(len(pair), np.int64)
+    """Counts as the filter holds them: 2 ** (levels found in a row - 1), 0 if the first is missing. A repeated pair is looked up once."""
     if not parts:
-        return out
+        return np.zeros(len(pair), np.int64)
+    pair, back = np.unique(pair, return_inverse=True)
+    out = np.zeros(len(pair), np.int64)
     # In the order of the segments: each is small enough to stay in a processor's cache.
     segment = (pair % SPREAD % (SEGMENTS * len(parts))).astype(np.min_scalar_type(SEGMENTS * len(parts)))
     order = np.argsort(segment, kind="stable")
@@ -268,14 +304,22 @@ def probe(parts: list, pair: np.ndarray) -> np.ndarray:
         bits, level = _part(held).reshape(-1), 1
         keys, first = pair[at], (segment[at] % SEGMENTS).astype(np.uint64) * np.uint64(SEGMENT_BITS)
         while len(at):
+            # Most pairs that lack a level lack its first bit.
+            places = _places(keys, level)
+            there = np.flatnonzero(_set(bits, next(places) + first))
+            at, keys, first = at[there], keys[there], first[there]
             there = np.ones(len(at), bool)
-            for place in _places(keys, level):
-                place += first
-                there &= bits[place >> np.uint64(3)] >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            for place in itertools.islice(_places(keys, level), 1, None):
+                there &= _set(bits, place + first)
             at, keys, first = at[there], keys[there], first[there]
             out[at] = 1 << (level - 1)
             level += 1
-    return out
+    return out[back]
+
+
+def _set(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    place = place.view(np.int64)
+    return bits.take(place >> 3) << (place & 7).astype(np.uint8) & np.uint8(128) != 0
 
 
 @functools.lru_cache(maxsize=1)
