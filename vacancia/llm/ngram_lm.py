@@ -39,7 +39,7 @@ PARTS = 128
 #: Characters of text whose pairs are probed together: for each part of the filter, and at most.
 CHUNK, CHUNKS = 1_000_000, 8_000_000
 #: Counts of pairs that one group sums, about.
-GROUP = 1_000_000
+GROUP = 250_000
 #: Pairs a task sorts by segment at a time to put them into the filter.
 FILLED = 1_000_000
 #: A prime that spreads pairs over segments.
