@@ -1,5 +1,6 @@
 """Each document operator against a plain version over a small table with every odd case."""
 
+import os
 import random
 import zlib
 from collections import Counter
@@ -10,8 +11,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from vacancia.llm import bpe, components, decontamination, language_id, ngram_lm, packing, quality_classifier, quality_rules, range_coder, sharding
-from vacancia.llm import simhash_dedup, token_counts, token_files
-from vacancia.llm.common import ascii_words
+from vacancia.llm import queries, simhash_dedup, token_counts, token_files
+from vacancia.llm.common import ascii_words, merge_counts
 from vacancia.session import work_dir
 
 SF = "/root/testdata/sf0.001"
@@ -513,3 +514,28 @@ def test_quality_classifier(spark, docs, rows, empty):
     assert all(r.score > 0.9 for r in quality_classifier.score_quality(docs, quality_classifier.train(docs, one)).collect())
     few = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (2, 0)], "doc_id long, quality int")
     assert quality_classifier.score_quality(docs, quality_classifier.train(docs, few)).count() == len(rows)
+
+
+def test_language_model_leaves_nothing_on_the_driver(spark, docs, tmp_path, monkeypatch):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    trained, train = [], ngram_lm.train
+    monkeypatch.setattr(ngram_lm, "train", lambda texts: trained.append(train(texts)) or trained[0])
+    scored = queries.op5_ngram_lm(spark, str(tmp_path))
+    (model,) = trained
+    # The words were not read back on the driver, and neither they nor the filter are kept for the rows that come.
+    assert model.parts and all("_value" not in vars(held) for held in (model.vocabulary, *model.parts))
+    assert not any(os.path.exists(held._path) for held in (model.vocabulary, *model.parts))
+    assert scored.count() == docs.count()
+
+
+def test_merged_counts():
+    rng = np.random.default_rng(5)
+    keys, counts = [rng.integers(-50, 50, n) for n in (0, 300, 1, 700)], [rng.integers(1, 9, n) for n in (0, 300, 1, 700)]
+    want = Counter()
+    for k, c in zip(np.concatenate(keys).tolist(), np.concatenate(counts).tolist()):
+        want[k] += c
+    got, sums = merge_counts(keys, counts)
+    assert (got.tolist(), sums.tolist()) == (sorted(want), [want[k] for k in sorted(want)])
+    assert [x.tolist() for x in merge_counts([keys[0]], [counts[0]])] == [[], []] and sums.dtype == np.int64
+    # Sums past the integers that a double holds.
+    assert merge_counts([np.array([7, 7])], [np.array([1 << 53, 1])])[1].tolist() == [(1 << 53) + 1]

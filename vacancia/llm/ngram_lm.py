@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,13 +96,17 @@ def least_count(levels: list, room: int) -> int:
 
 @dataclass
 class Vocabulary:
-    """Numbers of the frequent words (1 up) and their counts; ``end`` is the end's number, always there."""
+    """Numbers of the frequent words (1 up, in their order) and their counts; ``end`` is the end's number, always there. The numbers are made where they are asked for, in the tasks."""
 
-    numbers: dict[bytes, int]
+    words: pa.Array
     counts: np.ndarray
     total: int
     distinct: int
 
+    @functools.cached_property
+    def numbers(self) -> dict[bytes, int]:
+        return dict(zip(self.words.to_pylist(), itertools.count(1)))
+
     @property
     def end(self) -> int:
         return self.numbers[END.encode()]
@@ -112,13 +117,12 @@ def frequent_words(counts: DataFrame, room: int = WORDS) -> Vocabulary:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     levels = counts.where(F.octet_length("word") <= 64).groupBy("n").agg(F.count(F.lit(1))).collect()
     least = least_count(levels, room)
-    rows = counts.where((F.col("n") >= least) & (F.octet_length("word") <= 64) | (F.col("word") == END)).orderBy(F.desc("n"), "word").collect()
-    numbers = {r.word.encode(): i + 1 for i, r in enumerate(rows)}
-    values = [0, *(r.n for r in rows)]
-    if END.encode() not in numbers:
-        numbers[END.encode()] = len(values)
-        values.append(0)
-    return Vocabulary(numbers, np.array(values, np.int64), total, distinct)
+    rows = counts.where((F.col("n") >= least) & (F.octet_length("word") <= 64) | (F.col("word") == END)).orderBy(F.desc("n"), "word").toArrow()
+    words, values = rows["word"].cast(pa.binary()).combine_chunks(), [np.zeros(1, np.int64), rows["n"].to_numpy()]
+    if pc.index(words, END.encode()).as_py() < 0:
+        words = pa.concat_arrays([words, pa.array([END.encode()])])
+        values.append(np.zeros(1, np.int64))
+    return Vocabulary(words, np.concatenate(values), total, distinct)
 
 
 def _numbered(v: Vocabulary, words: list[bytes]) -> np.ndarray:
@@ -174,9 +178,10 @@ def pair_counts(texts: DataFrame, held, most: int = GROUP) -> DataFrame:
     Tasks send their counts as lists, one for each of so many groups of pairs that a group sums
     about ``most`` counts.
     """
-    groups = held.value.total // most + 1
 
     def lists(keys, counts):
+        # Here, in the tasks: read on the driver, the words would stay there.
+        groups = held.value.total // most + 1
         group = (_mix(keys.astype(np.uint64)) % np.uint64(groups)).astype(np.min_scalar_type(groups))
         order = np.argsort(group, kind="stable")
         found, first = np.unique(group[order], return_index=True)
@@ -185,6 +190,7 @@ def pair_counts(texts: DataFrame, held, most: int = GROUP) -> DataFrame:
         return batch_of(LISTS, found, *columns)
 
     def run(batches):
+        _part.cache_clear()  # the worker may still hold parts of an earlier filter
         keys, counts, size = [], [], 0
         for part in slices(batches):
             keyed = _keyed(held.value, part.column("text").to_pylist())
@@ -229,7 +235,7 @@ def build_filter(pairs: DataFrame, most: int = PARTS) -> tuple[list, DataFrame |
 
     There are as many parts as the entries need, ``most`` at most; beyond that the most frequent pairs
     are in the filter. Each segment is filled by one task from about a SEGMENTS-th of CAPACITY,
-    and the driver holds one part at a time.
+    and the driver holds one part at a time, which it reads in four steps.
     """
     spark = pairs.sparkSession
     level = F.floor(F.log2("n")).cast("long") + 1
@@ -275,7 +281,7 @@ def build_filter(pairs: DataFrame, most: int = PARTS) -> tuple[list, DataFrame |
     parts = []
     for i in range(count):
         rows = np.zeros((SEGMENTS, SEGMENT_BITS // 8), np.uint8)
-        for r in table.where(F.col("part") == i).collect():
+        for r in table.where(F.col("part") == i).coalesce(4).toLocalIterator():
             rows[r.segment % SEGMENTS] = np.frombuffer(r.bits, np.uint8)
         parts.append(spark.sparkContext.broadcast(rows))
     return parts, rest
@@ -336,15 +342,21 @@ class Model:
     total: int
     distinct: int
 
+    def release(self) -> None:
+        """Frees the words and the filter, on the driver too, once all scores are made. They can't be used after that."""
+        for held in (self.vocabulary, *self.parts):
+            held.destroy()
+
 
 def train(texts: DataFrame, parts: int = PARTS) -> Model:
     """Counts over all training texts (column text). The driver and the workers hold WORDS words, and parts of the filter one by one."""
     ship(texts.sparkSession)
     counts = stored(word_counts(texts), "word-counts")
     vocabulary = frequent_words(counts)
-    held = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    held, total, distinct = texts.sparkSession.sparkContext.broadcast(vocabulary), vocabulary.total, vocabulary.distinct
+    del vocabulary
     pairs = stored(pair_counts(texts, held), "pair-counts")
-    return Model(held, *build_filter(pairs, parts), counts, vocabulary.total, vocabulary.distinct)
+    return Model(held, *build_filter(pairs, parts), counts, total, distinct)
 
 
 def _probed(parts: list, held: list[Keyed]) -> list[np.ndarray]:
