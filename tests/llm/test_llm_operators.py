@@ -539,3 +539,18 @@ def test_merged_counts():
     assert [x.tolist() for x in merge_counts([keys[0]], [counts[0]])] == [[], []] and sums.dtype == np.int64
     # Sums past the integers that a double holds.
     assert merge_counts([np.array([7, 7])], [np.array([1 << 53, 1])])[1].tolist() == [(1 << 53) + 1]
+
+
+def test_range_coder_words(monkeypatch):
+    """The bytes do not depend on how many steps are modelled ahead; payloads that are cut or swapped fail by their checksum."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2047, 2049, 3 * 2048, 9001):
+        ids = np.where(rng.random(n) < 0.5, rng.zipf(1.3, n) % 50_000, np.arange(n) % 7).astype("<u4")
+        coded = range_coder.encode(ids)
+        with monkeypatch.context() as patch:
+            patch.setattr(range_coder, "AHEAD", 1)
+            assert range_coder.encode(ids) == coded
+        assert (range_coder.decode(coded) == ids).all()
+    for payloads in ([p[: len(p) // 4 * 2] for p in coded.payloads], [b"" for _ in coded.payloads], coded.payloads[::-1], [bytes([255]) * len(p) for p in coded.payloads]):
+        with pytest.raises(ValueError):
+            range_coder.decode(range_coder.Coded(coded.n_ids, coded.table, payloads, coded.checksums))

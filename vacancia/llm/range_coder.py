@@ -18,8 +18,9 @@ import numpy as np
 BLOCK = 2048
 #: Slots of each context table, bits of the shares' and of the frequencies' totals.
 SLOTS, SHARE_BITS, TABLE_BITS = 2048, 16, 20
-TOP, LOW32, MASK48 = np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64((1 << 48) - 1)
-W16, W32 = np.uint64(16), np.uint64(32)
+TOP, LOW32, MASK48 = 1 << 32, (1 << 32) - 1, (1 << 48) - 1
+#: Ids whose shares are computed before they are coded, or one step of all blocks.
+AHEAD = 1 << 16
 
 
 class Frequencies:
@@ -41,8 +42,8 @@ class Frequencies:
 
     def ids_at(self, target: np.ndarray) -> np.ndarray:
         if self._slots is None:
-            self._slots = np.repeat(np.arange(len(self.freq)), self.freq)
-        return self._slots[target]
+            self._slots = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq)
+        return self._slots.take(target, mode="clip").astype(np.int64)
 
     def pack(self) -> bytes:
         return zlib.compress(self.freq.astype("<u4").tobytes(), 6)
@@ -55,38 +56,54 @@ class Frequencies:
 class Contexts:
     """Order-2 and order-1 tables of all blocks, and the learned chance of a right prediction by confidence.
 
-    A table entry is prediction * 4 + confidence (0: empty slot, 1 to 3).
+    A table entry is prediction * 4 + confidence (0: empty slot, 1 to 3). Both orders stand in one
+    array, as the two rows of what a step reads and writes.
     """
 
     def __init__(self, blocks: int):
-        self.rows = np.arange(blocks)
-        self.tables = [np.zeros(blocks * SLOTS, np.int32) for _ in range(2)]
-        first = np.array([512, 9000, 30000, 50000], np.int32)
-        self.chance = [np.tile(first, blocks), np.tile(first, blocks)]
-        self.before, self.last = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
-
-    def predict(self, n: int):
-        """Predictions and shares (of 2**SHARE_BITS) of orders 2 and 1 for the first ``n`` blocks."""
-        rows = self.rows[:n]
-        last = self.last[:n]
-        slots = ((last * 40503 + self.before[:n] * 30011) >> 3 & SLOTS - 1, last * 40503 >> 3 & SLOTS - 1)
-        self.at = [rows * SLOTS + s for s in slots]
-        self.entry = [t[a] for t, a in zip(self.tables, self.at)]
-        self.kind = [rows * 4 + (e & 3) for e in self.entry]
-        share2, chance1 = self.chance[0][self.kind[0]], self.chance[1][self.kind[1]]
-        share1 = np.maximum(1, ((1 << SHARE_BITS) - share2).astype(np.int64) * chance1 >> SHARE_BITS)
-        return self.entry[0] >> 2, self.entry[1] >> 2, share2.astype(np.int64), share1
-
-    def update(self, n: int, ids: np.ndarray) -> None:
-        for table, at, entry, kind, chance in zip(self.tables, self.at, self.entry, self.kind, self.chance):
-            right = entry >> 2 == ids
-            confidence = entry & 3
-            right &= confidence > 0
-            c = chance[kind]
-            chance[kind] = np.clip(c + ((right * 65535 - c) >> 5), 64, 65000)
-            table[at] = np.where(right, entry + (confidence < 3), np.where(confidence <= 1, (ids << 2) + 1, entry - 1))
-        self.before[:n] = self.last[:n]
-        self.last[:n] = ids
+        rows = np.arange(blocks)
+        self.table = np.zeros(2 * blocks * SLOTS, np.int32)
+        self.chance = np.tile(np.array([512, 9000, 30000, 50000], np.int32), 2 * blocks)
+        self.first = np.stack([rows, rows + blocks]) * SLOTS
+        self.kinds = np.stack([rows, rows + blocks]) * 4
+
+    def slots(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Places in the table, by the two ids before: of order 2 and of order 1, in the last axis but one."""
+        last = last * 40503
+        at = np.stack([last + before * 30011, last], -2)
+        at >>= 3
+        at &= SLOTS - 1
+        at += self.first[:, : at.shape[-1]]
+        return at
+
+    def look(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries at ``at``, and the chances that they are right."""
+        self.at, self.entry = at, self.table.take(at, mode="clip")
+        self.confidence = self.entry & 3
+        self.kind = self.kinds[:, : at.shape[1]] + self.confidence
+        self.share = self.chance.take(self.kind, mode="clip")
+        return self.entry, self.share
+
+    def update(self, ids4: np.ndarray) -> np.ndarray:
+        """Learns from the ids, given times 4 and as 32 bits; which predictions they were."""
+        off, share, confidence = self.entry - ids4, self.share, self.confidence
+        hit = off.view(np.uint32) < 4
+        right = hit & (confidence > 0)
+        learned = right * np.int32(65535)
+        learned -= share
+        learned >>= 5
+        learned += share
+        np.maximum(learned, 64, out=learned)
+        np.minimum(learned, 65000, out=learned)
+        self.chance[self.kind] = learned
+        self.table[self.at] = np.where(right, self.entry + (confidence < 3), np.where(confidence <= 1, ids4 + np.int32(1), self.entry - np.int32(1)))
+        return hit
+
+
+def _shares(chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares (of 2**SHARE_BITS) of order 2 and, of the rest, of order 1; the orders are the last axis but one."""
+    share2 = chance[..., 0, :].astype(np.int64)
+    return share2, np.maximum(1, ((1 << SHARE_BITS) - share2) * chance[..., 1, :] >> SHARE_BITS)
 
 
 def _lengths(n_ids: int) -> np.ndarray:
@@ -97,68 +114,89 @@ def _lengths(n_ids: int) -> np.ndarray:
     return out
 
 
+def _due(low: np.ndarray, range_: np.ndarray) -> np.ndarray:
+    """Which blocks have a 16-bit word to move: the first word is settled, or the range is short."""
+    ends = low + range_
+    ends -= 1
+    ends ^= low
+    return np.minimum(ends, range_, out=ends) < TOP
+
+
+def _moved(low: np.ndarray, range_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Low and range without their first word; a short range that two first words share is cut at the second."""
+    settled = (low ^ (low + range_ - 1)) < TOP
+    return low << 16 & MASK48, np.where(settled, range_, TOP - (low & LOW32)) << 16
+
+
 class Encoder:
     def __init__(self, blocks: int):
-        self.low, self.range = np.zeros(blocks, np.uint64), np.full(blocks, MASK48, np.uint64)
-        self.words, self.used = np.zeros((blocks, 4 * BLOCK + 8), np.uint16), np.zeros(blocks, np.int64)
-
-    def put(self, at: np.ndarray, start: np.ndarray, freq: np.ndarray, bits: int) -> None:
-        low, range_ = self.low[at], self.range[at] >> np.uint64(bits)
-        low += start.astype(np.uint64) * range_
-        range_ *= freq.astype(np.uint64)
-        todo = np.arange(len(at))
-        while True:
-            l, r = low[todo], range_[todo]
-            same = (l ^ (l + r - np.uint64(1))) < TOP
-            out = same | (r < TOP)
-            if not out.any():
-                break
-            todo, l, r, same = todo[out], l[out], r[out], same[out]
-            r = np.where(same, r, TOP - (l & LOW32))
-            rows = at[todo]
-            self.words[rows, self.used[rows]] = (l >> W32).astype(np.uint16)
-            self.used[rows] += 1
-            low[todo], range_[todo] = l << W16 & MASK48, r << W16
-        self.low[at], self.range[at] = low, range_
+        self.low, self.range = np.zeros(blocks, np.int64), np.full(blocks, MASK48)
+        self.step = np.empty(blocks, np.int64)
+        self.blocks: list[np.ndarray] = []
+        self.words: list[np.ndarray] = []
+
+    def put(self, bits: np.ndarray, start: np.ndarray, freq: np.ndarray) -> None:
+        """Codes a symbol of 2**bits a block; bits 0, start 0 and freq 1 code nothing."""
+        low, range_ = self.low, self.range
+        range_ >>= bits
+        low += np.multiply(start, range_, out=self.step)
+        range_ *= freq
+        todo = np.flatnonzero(_due(low, range_))
+        while len(todo):
+            l = low[todo]
+            self.blocks.append(todo)
+            self.words.append((l >> 32).astype(np.uint16))
+            l, r = _moved(l, range_[todo])
+            low[todo], range_[todo] = l, r
+            todo = todo[_due(l, r)]
 
     def finish(self) -> list[bytes]:
+        """The words of each block, in the order they came."""
+        n = len(self.low)
         for shift in (32, 16, 0):
-            self.words[np.arange(len(self.used)), self.used] = (self.low >> np.uint64(shift) & np.uint64(0xFFFF)).astype(np.uint16)
-            self.used += 1
-        return [w[:n].astype("<u2").tobytes() for w, n in zip(self.words, self.used.tolist())]
+            self.blocks.append(np.arange(n))
+            self.words.append((self.low >> shift).astype(np.uint16))
+        blocks = np.concatenate(self.blocks).astype(np.min_scalar_type(n))
+        words = np.concatenate(self.words).astype("<u2")[np.argsort(blocks, kind="stable")]
+        return [w.tobytes() for w in np.split(words, np.cumsum(np.bincount(blocks, minlength=n))[:-1])]
 
 
 class Decoder:
+    """``code`` is how far each block's code lies above its low."""
+
     def __init__(self, payloads: list[bytes]):
         blocks = len(payloads)
+        self.words = np.frombuffer(b"".join([*payloads, bytes(2)]), "<u2")
         sizes = np.array([len(p) // 2 for p in payloads])
-        self.words = np.zeros((blocks, sizes.max(initial=0) + 8), np.uint64)
-        for i, p in enumerate(payloads):
-            self.words[i, : sizes[i]] = np.frombuffer(p, "<u2")
-        self.low, self.range, self.used = np.zeros(blocks, np.uint64), np.full(blocks, MASK48, np.uint64), np.full(blocks, 3)
-        self.code = self.words[:, 0] << W32 | self.words[:, 1] << W16 | self.words[:, 2]
-
-    def target(self, at: np.ndarray, bits: int) -> np.ndarray:
-        self.step = self.range[at] >> np.uint64(bits)
-        return np.minimum((self.code[at] - self.low[at]) // self.step, np.uint64((1 << bits) - 1)).astype(np.int64)
-
-    def take(self, at: np.ndarray, start: np.ndarray, freq: np.ndarray) -> None:
-        low = self.low[at] + start.astype(np.uint64) * self.step
-        range_ = self.step * freq.astype(np.uint64)
-        code, todo = self.code[at], np.arange(len(at))
-        while True:
-            l, r = low[todo], range_[todo]
-            same = (l ^ (l + r - np.uint64(1))) < TOP
-            out = same | (r < TOP)
-            if not out.any():
-                break
-            todo, l, r, same = todo[out], l[out], r[out], same[out]
-            r = np.where(same, r, TOP - (l & LOW32))
-            rows = at[todo]
-            code[todo] = code[todo] << W16 & MASK48 | self.words[rows, self.used[rows]]
-            self.used[rows] += 1
-            low[todo], range_[todo] = l << W16 & MASK48, r << W16
-        self.low[at], self.range[at], self.code[at] = low, range_, code
+        self.next = np.cumsum(sizes) - sizes
+        self.low, self.range, self.code = np.zeros(blocks, np.int64), np.full(blocks, MASK48), np.zeros(blocks, np.int64)
+        for _ in range(3):
+            self.code = self.code << 16 | self.words.take(self.next, mode="clip")
+            self.next += 1
+
+    def first(self, n: int) -> None:
+        """Goes on with the first ``n`` blocks."""
+        self.low, self.range, self.code, self.next = self.low[:n], self.range[:n], self.code[:n], self.next[:n]
+
+    def target(self, bits: int) -> np.ndarray:
+        """Where in 2**bits each block's symbol lies. Quotients below 2**20 of whole numbers below 2**48 are exact in doubles, rounded down."""
+        self.step = self.range >> bits
+        return np.minimum((self.code / self.step).astype(np.int64), (1 << bits) - 1)
+
+    def take(self, step: np.ndarray, start: np.ndarray, freq: np.ndarray) -> None:
+        low, range_, code = self.low, self.range, self.code
+        passed = start * step
+        low += passed
+        code -= passed
+        np.multiply(step, freq, out=range_)
+        todo = np.flatnonzero(_due(low, range_))
+        while len(todo):
+            at = self.next[todo]
+            code[todo] = code[todo] << 16 | self.words.take(at, mode="clip")
+            self.next[todo] = at + 1
+            l, r = _moved(low[todo], range_[todo])
+            low[todo], range_[todo] = l, r
+            todo = todo[_due(l, r)]
 
 
 @dataclass
@@ -177,25 +215,34 @@ def encode(ids: np.ndarray) -> Coded:
     checksums = [zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].tobytes()) for i in range(len(lengths))]
     if not len(ids):
         return Coded(0, b"", [], [])
-    order0 = Frequencies.of(ids)
-    grid = np.zeros((len(lengths), BLOCK), np.int64)
+    order0, blocks, total = Frequencies.of(ids), len(lengths), 1 << SHARE_BITS
+    grid = np.zeros((blocks, BLOCK), np.int64)
     grid.reshape(-1)[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.T)
-    model, coder, total = Contexts(len(lengths)), Encoder(len(lengths)), 1 << SHARE_BITS
-    for t in range(int(lengths[0])):
-        n = len(lengths) if t < lengths[-1] else len(lengths) - 1
-        now = grid[t, :n]
-        guess2, guess1, share2, share1 = model.predict(n)
-        hit2 = guess2 == now
-        hit1 = ~hit2 & (guess1 == now)
-        start = np.where(hit2, 0, np.where(hit1, share2, share2 + share1))
-        freq = np.where(hit2, share2, np.where(hit1, share1, total - share2 - share1))
-        coder.put(model.rows[:n], start, freq, SHARE_BITS)
-        miss = np.flatnonzero(~(hit2 | hit1))
-        if len(miss):
-            x = now[miss]
-            coder.put(miss, order0.start[x], order0.freq[x], TABLE_BITS)
-        model.update(n, now)
+    # Two steps without ids before the first: the contexts of step t are in rows t and t + 1.
+    grid = np.concatenate([np.zeros((2, blocks), np.int64), grid.T])
+    model, coder = Contexts(blocks), Encoder(blocks)
+    steps = max(1, AHEAD // blocks)
+    for t in range(0, int(lengths[0]), steps):
+        now = grid[t + 2 : min(t + steps, int(lengths[0])) + 2]
+        ids4 = (now << 2).astype(np.int32)
+        # The model first, as it needs the ids alone; then what it gave is coded.
+        chance, hit = (np.empty((len(now), 2, blocks), kind) for kind in (np.int32, bool))
+        for k, at in enumerate(model.slots(grid[t : t + len(now)], grid[t + 1 : t + 1 + len(now)])):
+            chance[k] = model.look(at)[1]
+            hit[k] = model.update(ids4[k])
+        share2, share1 = _shares(chance)
+        hit2, hit1 = hit[:, 0], hit[:, 1]
+        known = share2 + share1
+        start = np.where(hit2, 0, np.where(hit1, share2, known))
+        freq = np.where(hit2, share2, np.where(hit1, share1, total - known))
+        miss, bits = ~(hit2 | hit1), np.full(now.shape, SHARE_BITS)
+        ended = max(0, int(lengths[-1]) - t)
+        for values, nothing in ((bits, 0), (start, 0), (freq, 1), (miss, False)):
+            values[ended:, -1] = nothing
+        own = np.where(miss, TABLE_BITS, 0), np.where(miss, order0.start[now], 0), np.where(miss, order0.freq[now], 1)
+        for step in zip(bits, start, freq, *own):
+            coder.put(*step[:3])
+            coder.put(*step[3:])
     return Coded(len(ids), order0.pack(), coder.finish(), checksums)
 
 
@@ -207,22 +254,26 @@ def decode(coded: Coded) -> np.ndarray:
     order0 = Frequencies.unpack(coded.table)
     grid = np.zeros((BLOCK, len(lengths)), "<u4")
     model, coder, total = Contexts(len(lengths)), Decoder(coded.payloads), 1 << SHARE_BITS
+    before = last = np.zeros(len(lengths), np.int64)
+    n = len(lengths)
     for t in range(int(lengths[0])):
-        n = len(lengths) if t < lengths[-1] else len(lengths) - 1
-        guess2, guess1, share2, share1 = model.predict(n)
-        target = coder.target(model.rows[:n], SHARE_BITS)
-        hit2 = target < share2
-        hit1 = ~hit2 & (target < share2 + share1)
-        start = np.where(hit2, 0, np.where(hit1, share2, share2 + share1))
-        freq = np.where(hit2, share2, np.where(hit1, share1, total - share2 - share1))
-        coder.take(model.rows[:n], start, freq)
-        now = np.where(hit2, guess2, guess1).astype(np.int64)
-        miss = np.flatnonzero(~(hit2 | hit1))
-        if len(miss):
-            x = order0.ids_at(coder.target(miss, TABLE_BITS))
-            coder.take(miss, order0.start[x], order0.freq[x])
-            now[miss] = x
-        model.update(n, now)
+        if t == lengths[-1]:
+            n -= 1
+            before, last = before[:n], last[:n]
+            coder.first(n)
+        entry, chance = model.look(model.slots(before, last))
+        share2, share1 = _shares(chance)
+        known = share2 + share1
+        target = coder.target(SHARE_BITS)
+        hit2, miss = target < share2, target >= known
+        start = np.where(hit2, 0, np.where(miss, known, share2))
+        freq = np.where(hit2, share2, np.where(miss, total - known, share1))
+        coder.take(coder.step, start, freq)
+        x = order0.ids_at(coder.target(TABLE_BITS))
+        coder.take(np.where(miss, coder.step, coder.range), np.where(miss, order0.start.take(x), 0), np.where(miss, order0.freq.take(x), 1))
+        now = np.where(miss, x, np.where(hit2, entry[0], entry[1]) >> 2)
+        model.update((now << 2).astype(np.int32))
+        before, last = last, now
         grid[t, :n] = now
     ids = np.ascontiguousarray(grid.T).reshape(-1)[: coded.n_ids]
     for i, want in enumerate(coded.checksums):
