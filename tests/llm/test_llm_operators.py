@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -554,3 +555,63 @@ def test_range_coder_words(monkeypatch):
     for payloads in ([p[: len(p) // 4 * 2] for p in coded.payloads], [b"" for _ in coded.payloads], coded.payloads[::-1], [bytes([255]) * len(p) for p in coded.payloads]):
         with pytest.raises(ValueError):
             range_coder.decode(range_coder.Coded(coded.n_ids, coded.table, payloads, coded.checksums))
+
+
+def test_range_coder_mixes():
+    """One distribution of all three orders: free ids cost little over their entropy, and ids that follow others next to nothing."""
+    rng = np.random.default_rng(5)
+    ids = (rng.zipf(1.2, 200_000) % 50_000).astype("<u4")
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    coded = range_coder.encode(ids)
+    assert (range_coder.decode(coded) == ids).all()
+    assert 8 * sum(map(len, coded.payloads)) < 1.02 * -(share * np.log2(share)).sum() * len(ids)
+    ids = np.tile(rng.integers(0, 50_000, 300), 400).astype("<u4")
+    coded = range_coder.encode(ids)
+    assert (range_coder.decode(coded) == ids).all()
+    assert 8 * sum(map(len, coded.payloads)) < 0.5 * len(ids)
+
+
+def test_range_coder_carries():
+    """The words are those of whole numbers without a bound, however far a carry goes."""
+    top = 1 << range_coder.TOTAL_BITS
+    rng = np.random.default_rng(6)
+    for last in (0, 1, top - 1):
+        steps = [(int(s), int(rng.integers(1, top - s + 1))) for s in rng.integers(0, top, 300)] + [(top - 1, 1)] * 40 + [(0, top)] * 2 + [(last, 1), (top - 2, 2)] * 3
+        coder, low, size, words = range_coder.Encoder(2), 0, 1 << 48, 3
+        for start, n in steps:
+            coder.put(np.array([start, 0]), np.array([n, top]))
+            step = size // top
+            low, size = low + start * step, n * step
+            while size < 1 << 32:
+                low, size, words = low << 16, size << 16, words + 1
+        want = low + 0xFFFF >> 16
+        assert coder.finish()[0] == np.array([want >> 16 * k & 0xFFFF for k in reversed(range(words - 1))], "<u2").tobytes()
+
+
+def test_blank_runs():
+    """Ids of whole texts with runs of blanks, control characters and special strings are the library's."""
+    parts = [*" \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2003\u200b\u2028\u202f\u205f\u3000aZ9\xe9\u4e2d!'\U0001f642", "'s", "'ll", "  ", "\n\n", "\r\n", " a", "<|endoftext|>"]
+    rng = np.random.default_rng(7)
+    texts = ["".join(parts[i] for i in rng.integers(0, len(parts), n)) for n in rng.integers(1, 15, 20_000)]
+    lib = bpe.Library(bpe.default_path())
+    assert lib.ordinary is not None
+    assert [x.tolist() for x in bpe.encode(bpe.default_path(), texts)] == lib.encode_all(texts)
+    lib.tokenizer.encode_special_tokens = True
+    assert [lib.plain_ids(t).tolist() for t in texts] == lib.encode_all(texts)
+
+
+def test_token_files_time():
+    """CPU time of ids and their coding, by that of a loop whose usual time is a millisecond."""
+
+    def took(f, *args):
+        times = []
+        for _ in range(5):
+            start = time.process_time()
+            f(*args)
+            times.append(time.process_time() - start)
+        return min(times)
+
+    loop = took(sum, range(50_000)) * 1000
+    ids = (np.random.default_rng(8).zipf(1.3, 1 << 20) % 50_000).astype("<u4")
+    coded = range_coder.encode(ids)
+    assert took(range_coder.encode, ids) + took(range_coder.decode, coded) < 0.45e-6 * loop * len(ids)
