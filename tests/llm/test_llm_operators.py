@@ -577,7 +577,7 @@ def test_range_coder_carries():
     rng = np.random.default_rng(6)
     for last in (0, 1, top - 1):
         steps = [(int(s), int(rng.integers(1, top - s + 1))) for s in rng.integers(0, top, 300)] + [(top - 1, 1)] * 40 + [(0, top)] * 2 + [(last, 1), (top - 2, 2)] * 3
-        coder, low, size, words = range_coder.Encoder(2), 0, 1 << 48, 3
+        coder, low, size, words = range_coder.Encoder(2, len(steps)), 0, 1 << 48, 3
         for start, n in steps:
             coder.put(np.array([start, 0]), np.array([n, top]))
             step = size // top

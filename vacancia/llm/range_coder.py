@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BLOCK = 1024
+BLOCK = 512
 #: Bits of the slots of the order-2 and the order-1 table, of the weights' and of the frequencies' totals.
 SLOTS2, SLOTS1, WEIGHT_BITS, TABLE_BITS = 17, 16, 8, 20
 TOTAL_BITS = WEIGHT_BITS + TABLE_BITS
@@ -24,7 +24,7 @@ TOP, LOW32 = 1 << 32, (1 << 32) - 1
 #: Steps after which the weights are learned anew, and the part (a power of two) of the older counts that then goes.
 LEARN, FADE = 16, 5
 #: Ids that the model goes ahead of the coder, or LEARN steps of all blocks.
-AHEAD = 1 << 15
+AHEAD = 1 << 16
 
 
 class Frequencies:
@@ -145,12 +145,13 @@ def _lengths(n_ids: int) -> np.ndarray:
 
 
 class Encoder:
-    """Words are kept with their carry, a 17th bit, until the end."""
+    """Words are kept with their carry, a 17th bit, until the end. A symbol gives two at most, the end two."""
 
-    def __init__(self, blocks: int):
+    def __init__(self, blocks: int, symbols: int):
         self.low, self.range = np.zeros(blocks, np.int64), np.full(blocks, 1 << 48)
-        self.blocks: list[np.ndarray] = []
-        self.words: list[np.ndarray] = []
+        self.words = np.zeros((blocks, 2 * symbols + 2), np.int32)
+        self.first = np.arange(blocks) * self.words.shape[1]
+        self.next = self.first.copy()
 
     def put(self, start: np.ndarray, size: np.ndarray) -> None:
         """Codes a symbol of 2**TOTAL_BITS in each of the first blocks."""
@@ -161,25 +162,27 @@ class Encoder:
         todo = (range_ < TOP).nonzero()[0]
         while len(todo):
             l, r = low[todo], range_[todo] << 16
-            self.blocks.append(todo)
-            self.words.append(l >> 32)
+            self._word(todo, l >> 32)
             low[todo], range_[todo] = (l & LOW32) << 16, r
             todo = todo[r < TOP]
 
+    def _word(self, blocks: np.ndarray, words: np.ndarray) -> None:
+        at = self.next[blocks]
+        self.words.reshape(-1)[at] = words
+        self.next[blocks] = at + 1
+
     def finish(self) -> list[bytes]:
         """The words of each block, in the order they came; carries go into the words before."""
-        n = len(self.low)
+        blocks = np.arange(len(self.low))
         # Two words are enough: whatever follows them lies within the range.
         self.low += 0xFFFF
-        for shift in (32, 16):
-            self.blocks.append(np.arange(n))
-            self.words.append(self.low >> shift if shift == 32 else self.low >> shift & 0xFFFF)
-        blocks = np.concatenate(self.blocks, dtype=np.min_scalar_type(n), casting="unsafe")
-        words = np.concatenate(self.words, dtype=np.int32, casting="unsafe").take(np.argsort(blocks, kind="stable"))
-        while len(over := (words >> 16).nonzero()[0]):
+        self._word(blocks, self.low >> 32)
+        self._word(blocks, self.low >> 16 & 0xFFFF)
+        words = self.words.reshape(-1)
+        while len(over := (words > 0xFFFF).nonzero()[0]):
             words[over] &= 0xFFFF
             words[over - 1] += 1
-        return [w.tobytes() for w in np.split(words.astype("<u2"), np.cumsum(np.bincount(blocks, minlength=n))[:-1])]
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.words, (self.next - self.first).tolist())]
 
 
 class Decoder:
@@ -237,8 +240,9 @@ def encode(ids: np.ndarray) -> Coded:
     full.reshape(-1)[: len(ids)] = ids
     # Two steps without ids before the first: the contexts of step t are in rows t and t + 1.
     grid = np.zeros((BLOCK + 2, blocks), np.uint32)
-    grid[2:] = full.T
-    model, weights, coder = Contexts(), Weights(), Encoder(blocks)
+    for at in range(0, blocks, 64):
+        grid[2:, at : at + 64] = full[at : at + 64].T
+    model, weights, coder = Contexts(), Weights(), Encoder(blocks, int(lengths[0]))
     ahead = max(1, AHEAD // blocks // LEARN) * LEARN
     t, steps = 0, int(lengths[0])
     while t < steps:
@@ -328,7 +332,10 @@ def decode(coded: Coded) -> np.ndarray:
         now = now.view(np.uint32)
         before, last = last, now
         grid[t, :n] = now
-    ids = np.ascontiguousarray(grid.T).reshape(-1)[: coded.n_ids]
+    full = np.empty(grid.shape[::-1], "<u4")
+    for at in range(0, len(full), 64):
+        full[at : at + 64] = grid[:, at : at + 64].T
+    ids = full.reshape(-1)[: coded.n_ids]
     for i, want in enumerate(coded.checksums):
         if zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].tobytes()) != want:
             raise ValueError(f"block {i} does not match its checksum")
