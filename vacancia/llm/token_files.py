@@ -36,18 +36,18 @@ def write_ids(docs: DataFrame, target: str, path: str, end_id: int = 0) -> None:
         part, segment = TaskContext.get().partitionId(), 0
         names: list = []
         held: list[np.ndarray] = []
-        size = 0
+        size, end = 0, np.array([end_id], "<u4")
 
         def close():
             coded = range_coder.encode(np.concatenate(held))
             return batch_of(
-                FORMAT, [part], [segment], [coded.n_ids], [names], [[len(x) for x in held]], [coded.table], [coded.payloads], [coded.checksums]
+                FORMAT, [part], [segment], [coded.n_ids], [names], [[len(x) + 1 for x in held[::2]]], [coded.table], [coded.payloads], [coded.checksums]
             )
 
         for some in slices(batches):
             for doc_id, ids in zip(some.column("doc_id").to_pylist(), bpe.encode(path, some.column("text").to_pylist())):
                 names.append(doc_id)
-                held.append(np.append(ids, np.uint32(end_id)).astype("<u4"))
+                held += [ids, end]
                 size += len(ids) + 1
                 if size >= STREAM:
                     yield close()
