@@ -26,7 +26,7 @@ def write_ids(docs: DataFrame, target: str, path: str, end_id: int = 0) -> None:
     """Encodes every whole text, adds ``end_id`` and writes the coded streams to the folder ``target``.
 
     A file row is one stream of whole documents (part and segment give its place in doc_id order):
-    document ids and lengths, the order-0 header, and independent blocks with their checksums. The
+    document ids and lengths, the order-0 header, and blocks with their checksums. The
     documents are dealt by ranges of doc_id, so each task writes its own range. A null text is its
     end id alone; rows without doc_id come first; rows with equal doc_id follow one another by
     text; an empty table gives a folder without rows; other columns are not read.
